@@ -44,10 +44,11 @@ def field_paths(schema: DataType, prefix: str = "") -> set[str]:
 
 
 def reject_unknown_fields(
-    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+    spark: SparkSession, path: str, schema: str, multi_line: bool = False
 ) -> None:
     """Raise when the files hold a field, at any depth, that the schema does not know."""
-    unknown = field_paths(infer_schema(spark, path, multi_line)) - field_paths(schema)
+    known = field_paths(StructType.fromDDL(schema))
+    unknown = field_paths(infer_schema(spark, path, multi_line)) - known
     if unknown:
         raise LandingError(f"{path}: unknown fields {sorted(unknown)}")
 
@@ -78,7 +79,7 @@ def _reject_non_array(spark: SparkSession, path: str) -> None:
 
 
 def read_json_array(
-    spark: SparkSession, path: str, schema: StructType, strict: bool = True
+    spark: SparkSession, path: str, schema: str, strict: bool = True
 ) -> DataFrame:
     """Rows of pretty-printed JSON array files, one row per array element.
 
@@ -92,7 +93,7 @@ def read_json_array(
 
 
 def read_ndjson(
-    spark: SparkSession, path: str, schema: StructType, strict: bool = True
+    spark: SparkSession, path: str, schema: str, strict: bool = True
 ) -> DataFrame:
     """Rows of newline-delimited JSON; the files are split over many tasks."""
     if strict:
@@ -104,7 +105,7 @@ def land(
     spark: SparkSession,
     source: str,
     target: str,
-    schema: StructType,
+    schema: str,
     layout: str = "array",
     strict: bool = True,
 ) -> int | None:

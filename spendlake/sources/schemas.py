@@ -1,14 +1,11 @@
 """Schemas of the three nested exports.
 
 Fixed values: field names and types are those of the export files, so that existing files
-load unchanged.  They are always given to the reader; inference would leave dates and
+load unchanged.  They are always given to the reader, as DDL; inference would leave dates and
 timestamps as strings.
 """
 
-from pyspark.sql.types import StructType
-
-CUSTOMERS = StructType.fromDDL(
-    """
+CUSTOMERS = """
     customer_id STRING, customer_name STRING, status STRING, segment STRING, industry STRING,
     created_at TIMESTAMP,
     address STRUCT<street: STRING, city: STRING, country: STRING, country_code: STRING,
@@ -22,11 +19,9 @@ CUSTOMERS = StructType.fromDDL(
     billing_accounts ARRAY<STRUCT<billing_account_id: STRING, cloud_provider: STRING,
                                   currency: STRING, payment_terms: STRING,
                                   is_reseller_account: BOOLEAN, activated_on: DATE>>
-    """
-)
+"""
 
-PRODUCTS = StructType.fromDDL(
-    """
+PRODUCTS = """
     product_id STRING, product_name STRING, product_family STRING, description STRING,
     launch_date DATE, is_active BOOLEAN, supported_providers ARRAY<STRING>,
     features ARRAY<STRUCT<feature_code: STRING, feature_name: STRING, availability: STRING,
@@ -35,11 +30,9 @@ PRODUCTS = StructType.fromDDL(
                    tiers: ARRAY<STRUCT<tier_name: STRING, min_monthly_spend_usd: BIGINT,
                                        max_monthly_spend_usd: BIGINT, rate_pct: DOUBLE,
                                        included_support: STRING>>>
-    """
-)
+"""
 
-CLOUD_USAGE = StructType.fromDDL(
-    """
+CLOUD_USAGE = """
     usage_id STRING, usage_date DATE, export_time TIMESTAMP, customer_id STRING,
     billing_account_id STRING, cloud_provider STRING,
     project STRUCT<project_id: STRING, project_name: STRING>,
@@ -54,8 +47,7 @@ CLOUD_USAGE = StructType.fromDDL(
                    optimisation_savings_usd: DOUBLE>,
     credits ARRAY<STRUCT<credit_type: STRING, credit_id: STRING, amount_usd: DOUBLE>>,
     labels ARRAY<STRUCT<key: STRING, value: STRING>>
-    """
-)
+"""
 
 LANDING_SCHEMAS = {
     "customers": CUSTOMERS,
