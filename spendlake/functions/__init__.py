@@ -9,6 +9,8 @@ from spendlake.functions.dates import (
     utc_date,
 )
 from spendlake.functions.numbers import (
+    catalogue_count,
+    day_count,
     exact_mean,
     exact_sum,
     key_of,
@@ -19,6 +21,8 @@ from spendlake.functions.numbers import (
 __all__ = [
     "array_count",
     "array_total",
+    "catalogue_count",
+    "day_count",
     "day_name",
     "exact_mean",
     "exact_sum",

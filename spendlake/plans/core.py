@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.functions import exact_sum, month_boundaries, ratio, text_list
+from spendlake.functions import (
+    catalogue_count,
+    exact_sum,
+    month_boundaries,
+    ratio,
+    text_list,
+)
 from spendlake.operators.joins import add_rollups, keep_known
 from spendlake.settings import Settings
 
@@ -38,10 +44,11 @@ def dim_customers(
         exact_sum(F.when(F.col("is_active"), F.col("arr_usd"))).alias("active_arr_usd"),
         F.min("start_date").alias("first_subscription_date"),
     )
+    # A handful of providers exist, so their set is small.
     providers = F.array_sort(F.collect_set("cloud_provider"))
     footprint = accounts.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("billing_account_count"),
-        F.array_size(providers).cast("long").alias("cloud_provider_count"),
+        catalogue_count("cloud_provider").alias("cloud_provider_count"),
         # NULL, not '', when no account names a provider.
         F.nullif(text_list(providers), F.lit("")).alias("cloud_providers"),
         F.min("activated_on").alias("first_account_activated_on"),

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.functions import exact_sum, key_of, ratio, zero_if_null
+from spendlake.functions import (
+    catalogue_count,
+    day_count,
+    exact_sum,
+    key_of,
+    ratio,
+    zero_if_null,
+)
 from spendlake.operators.joins import add_attributes, keep_known, live_months
 from spendlake.operators.windows import (
     add_joined_total,
@@ -45,8 +52,10 @@ def fct_cloud_usage_daily(
     account_attributes = accounts.select(
         "billing_account_id", "billing_currency", "payment_terms", "is_reseller_account"
     )
-    known = keep_known(usage, customers.select(*CUSTOMER_ATTRIBUTES), "customer_id")
-    joined = add_attributes(known, account_attributes, "billing_account_id")
+    # Customers last: when both joins shuffle, the rows end up partitioned by customer, which
+    # is what every aggregate of this fact groups by.
+    placed = add_attributes(usage, account_attributes, "billing_account_id")
+    joined = keep_known(placed, customers.select(*CUSTOMER_ATTRIBUTES), "customer_id")
     return joined.select(
         "usage_id",
         "usage_date",
@@ -104,7 +113,7 @@ def agg_customer_daily_spend(fact: DataFrame) -> DataFrame:
     ]
     daily = fact.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("usage_line_count"),
-        F.count_distinct("service_id").alias("service_count"),
+        catalogue_count("service_id").alias("service_count"),
         F.count_distinct("project_id").alias("project_count"),
         *_sums(COST_MEASURES + SAVING_MEASURES),
     )
@@ -153,10 +162,10 @@ def agg_customer_monthly_spend(
     """
     keys = [*CUSTOMER_ATTRIBUTES, "usage_month"]
     monthly = fact.groupBy(*keys).agg(
-        F.count_distinct("usage_date").alias("active_days"),
+        day_count("usage_date").alias("active_days"),
         F.count_distinct("billing_account_id").alias("billing_account_count"),
-        F.count_distinct("cloud_provider").alias("cloud_provider_count"),
-        F.count_distinct("service_id").alias("service_count"),
+        catalogue_count("cloud_provider").alias("cloud_provider_count"),
+        catalogue_count("service_id").alias("service_count"),
         *_sums(COST_MEASURES + SAVING_MEASURES),
         exact_sum(F.when(F.col("is_flexsave_eligible"), F.col("effective_cost_usd"))).alias(
             "flexsave_eligible_cost_usd"
@@ -207,7 +216,7 @@ def agg_service_monthly_spend(fact: DataFrame) -> DataFrame:
     ).agg(
         F.count(F.lit(1)).alias("usage_line_count"),
         F.count_distinct("sku_id").alias("sku_count"),
-        F.count_distinct("cloud_region").alias("region_count"),
+        catalogue_count("cloud_region").alias("region_count"),
         F.sum("usage_quantity").alias("usage_quantity"),
         *_sums([*COST_MEASURES, "total_savings_usd"]),
     )

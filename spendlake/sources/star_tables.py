@@ -18,6 +18,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the table is one single file, as a small copy of it is.
+
+    Such a file often is one row group, hence one task.  A table of many files is left
+    alone: its scan is parallel already and a shuffle would only cost.
+    """
+    if len(df.inputFiles()) > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _text(*parts: Column | str) -> Column:
     """Concatenation where plain strings are literals."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -167,7 +178,7 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 def cloud_usage(spark: SparkSession, folder: str) -> DataFrame:
     """Nested usage lines: a line item with the customer of its order and the SKU of its part."""
-    lineitem = read_table(spark, folder, "lineitem")
+    lineitem = spread(read_table(spark, folder, "lineitem"))
     orders = read_table(spark, folder, "orders")
     part = read_table(spark, folder, "part")
     df = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).join(
