@@ -14,6 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def broadcast_when_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unchanged.
+
+    For sides Spark cannot size beforehand, such as the result of an aggregation: without the
+    mark both sides are shuffled before the small one is noticed.  Counting runs ``df`` once,
+    so it must be much cheaper than shuffling the other side.
+    """
+    counted = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if counted <= max_rows else df
+
+
 def keep_known(facts: DataFrame, dimension: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Inner equi-join: facts without a dimension row are dropped."""
     return facts.join(dimension, on, "inner")

@@ -10,6 +10,7 @@ from spendlake.functions import (
     day_count,
     exact_sum,
     key_of,
+    month_of,
     ratio,
     zero_if_null,
 )
@@ -158,7 +159,8 @@ def agg_customer_monthly_spend(
 ) -> DataFrame:
     """Spend per customer and month beside the subscription revenue live in that month.
 
-    ``months`` may name a cheaper source than the fact for the range of months.
+    ``months`` may name a cheaper source than the fact for the range of months.  By default
+    it is taken from the usage dates, the fact's partition column: no data column is read.
     """
     keys = [*CUSTOMER_ATTRIBUTES, "usage_month"]
     monthly = fact.groupBy(*keys).agg(
@@ -171,7 +173,9 @@ def agg_customer_monthly_spend(
             "flexsave_eligible_cost_usd"
         ),
     )
-    revenue = subscription_revenue(subscriptions, fact if months is None else months)
+    if months is None:
+        months = fact.select(month_of("usage_date").alias("usage_month"))
+    revenue = subscription_revenue(subscriptions, months)
     joined = monthly.join(revenue, ["customer_id", "usage_month"], "left").withColumns(
         {
             "subscription_mrr_usd": zero_if_null("subscription_mrr_usd", 0.0),

@@ -16,13 +16,16 @@ from spendlake.sinks.tables import Layout
 class Refresh:
     """Which input an incremental run narrows, and to what grain.
 
-    ``drop_vanished`` empties partitions of the window the batch has no rows for.  It is off
+    ``partition_column`` is what that input is partitioned by, when it is not ``column``: the
+    first day of a month bounds the days of the month as well, so both are filtered and the
+    scan skips the older partitions.  ``drop_vanished`` empties partitions of the window the batch has no rows for.  It is off
     for the raw model, whose landing may hold only a few days.
     """
 
     input_name: str
     column: str
     grain: str
+    partition_column: str | None = None
     drop_vanished: bool = True
 
 
@@ -250,7 +253,7 @@ MODELS: list[Model] = [
             "Spend and live subscription revenue per customer and month.",
             {"revenue_to_spend_ratio": "Subscription revenue by effective cost."},
         ),
-        refresh=Refresh("fct_cloud_usage_daily", "usage_month", "month"),
+        refresh=Refresh("fct_cloud_usage_daily", "usage_month", "month", "usage_date"),
         takes_settings=True,
     ),
     Model(
@@ -264,7 +267,7 @@ MODELS: list[Model] = [
             "Spend per customer, month and service, ranked.",
             {"service_cost_rank": "1 is the dearest service of the customer month."},
         ),
-        refresh=Refresh("fct_cloud_usage_daily", "usage_month", "month"),
+        refresh=Refresh("fct_cloud_usage_daily", "usage_month", "month", "usage_date"),
     ),
     Model(
         "agg_cost_allocation_monthly",
@@ -277,7 +280,7 @@ MODELS: list[Model] = [
             "Spend per customer, month and label bucket.",
             {"is_missing_cost_centre": "The bucket is the one of unlabelled lines."},
         ),
-        refresh=Refresh("fct_cloud_usage_daily", "usage_month", "month"),
+        refresh=Refresh("fct_cloud_usage_daily", "usage_month", "month", "usage_date"),
     ),
 ]
 

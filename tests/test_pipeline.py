@@ -186,3 +186,28 @@ def test_each_check_kind_counts_its_failures(spark):
     ]
     got = {r.check_kind: r.failing_rows for r in run_checks({"child": child, "parent": parent}, checks).collect()}
     assert got == {"not_null": 2, "unique": 1, "relationships": 1, "accepted_values": 3}
+
+
+def test_empty_batch(spark, settings):
+    warehouse, layout = Warehouse(spark, settings), Layout("usage_date")
+    rows = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 1, 5))], "a int, usage_date date")
+    warehouse.replace("t", rows, layout)
+    nothing = rows.where(F.lit(False))
+    assert warehouse.overwrite_partitions("t", nothing, layout, date(2024, 1, 2), drop_vanished=False) == []
+    assert warehouse.read("t").count() == 2
+    assert warehouse.overwrite_partitions("t", nothing, layout, date(2024, 1, 2)) == []
+    assert [r.a for r in warehouse.read("t").collect()] == [1]
+
+
+def test_month_models_skip_old_days_of_the_fact(spark, settings):
+    """An incremental month model reads only the day partitions of the months it rebuilds."""
+    lines = make_lines(date(2024, 1, 25), 30)
+    pipeline = Pipeline(spark, landed(spark, lines), replace(settings, incremental=True))
+    pipeline.build()
+    planned = {}
+    pipeline.warehouse.overwrite_partitions = lambda name, df, *rest: planned.update({name: df})
+    lines += make_lines(date(2024, 5, 1), 1)
+    pipeline.warehouse.high_water_mark = lambda name: date(2024, 3, 1)
+    pipeline.build(names={"agg_service_monthly_spend"})
+    files = planned["agg_service_monthly_spend"].inputFiles()
+    assert files and all("usage_date=2024-02" in f for f in files)
