@@ -3,6 +3,7 @@
     python -m spendlake land  --source exports/ --base /shared/lake
     python -m spendlake build --base /shared/lake [--incremental] [--tag finops]
     python -m spendlake check --base /shared/lake
+    python -m spendlake report top_cost_drivers --month 2024-05-01 --base /shared/lake
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.plans.pipeline import Pipeline
+from spendlake.plans.reports import REPORTS
 from spendlake.settings import Settings, prepare_session
 from spendlake.sources.landing import land, path_exists
 from spendlake.sources.schemas import LANDING_SCHEMAS
@@ -22,7 +24,8 @@ from spendlake.sources.schemas import LANDING_SCHEMAS
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="spendlake", description=__doc__)
-    parser.add_argument("command", choices=["land", "build", "check"])
+    parser.add_argument("command", choices=["land", "build", "check", "report"])
+    parser.add_argument("name", nargs="?", choices=sorted(REPORTS), help="which report")
     parser.add_argument("--base", required=True, help="folder all executors share")
     parser.add_argument("--source", help="folder with <table>.json or <table>.ndjson exports")
     parser.add_argument("--database", default="spendlake")
@@ -33,6 +36,8 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--as-of", type=date.fromisoformat)
     parser.add_argument("--tag", action="append", default=[])
     parser.add_argument("--model", action="append", default=[])
+    parser.add_argument("--usage-id")
+    parser.add_argument("--month", type=date.fromisoformat)
     return parser.parse_args()
 
 
@@ -40,6 +45,7 @@ def _landed(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return {
         name: spark.read.schema(schema).parquet(f"{base}/landing/{name}")
         for name, schema in LANDING_SCHEMAS.items()
+        if path_exists(spark, f"{base}/landing/{name}")
     }
 
 
@@ -78,6 +84,9 @@ def main() -> int:
         for name in pipeline.build(set(args.tag), set(args.model)):
             print(f"built {name}")
         return 0
+    if args.command == "report":
+        pipeline.report(args.name, usage_id=args.usage_id, month=args.month).show(100, False)
+        return 0
     outcome = pipeline.check()
     failed = outcome.where(F.col("failing_rows") > 0).orderBy("model", "column_name").collect()
     for row in failed:

@@ -161,3 +161,19 @@ def customer_360(customers: DataFrame) -> DataFrame:
         "cloud_providers",
         "is_multicloud",
     )
+
+
+# name -> (model it reads, report, the options it needs)
+REPORTS = {
+    "usage_line": ("stg_cloud_usage", usage_line, ("usage_id",)),
+    "grain_check": ("stg_cloud_usage", grain_check, ()),
+    "credits_of_line": ("stg_cloud_usage_credits", credits_of_line, ("usage_id",)),
+    "labels_of_line": ("stg_cloud_usage_labels", labels_of_line, ("usage_id",)),
+    "first_subscriptions": ("stg_subscriptions", first_subscriptions, ()),
+    "spend_vs_revenue": ("agg_customer_monthly_spend", spend_vs_revenue, ()),
+    "top_cost_drivers": ("agg_service_monthly_spend", top_cost_drivers, ("month",)),
+    "spend_spikes": ("agg_customer_daily_spend", spend_spikes, ()),
+    "unallocated_share": ("agg_cost_allocation_monthly", unallocated_share, ()),
+    "spend_by_environment": ("agg_cost_allocation_monthly", spend_by_environment, ()),
+    "customer_360": ("dim_customers", customer_360, ()),
+}

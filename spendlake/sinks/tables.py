@@ -21,6 +21,11 @@ from spendlake.sources.landing import path_exists
 
 log = logging.getLogger(__name__)
 
+# Hash buckets of the rebalance before a partitioned write.  Many, so that two days seldom share
+# a bucket and are not cut up together; but below 2000, from where on Spark by default only
+# keeps the average size of a map output's blocks and no longer sees a hot one.
+WRITE_BUCKETS = 1999
+
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -48,7 +53,7 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     days hurt.  Sorting by the clustering columns makes row-group statistics selective.
     """
     if layout.partition_by:
-        df = df.hint("rebalance", layout.partition_by)
+        df = df.hint("rebalance", WRITE_BUCKETS, layout.partition_by)
         return df.sortWithinPartitions(layout.partition_by, *layout.cluster_by)
     if layout.cluster_by:
         return df.hint("rebalance").sortWithinPartitions(*layout.cluster_by)

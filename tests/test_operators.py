@@ -55,24 +55,41 @@ def test_joined_total_equals_window_total(skewed):
     assert joined.exceptAll(windowed).count() == 0
 
 
-def test_skewed_join_keeps_every_row(spark, skewed):
-    before = {name: spark.conf.get(name) for name in (
-        "spark.sql.autoBroadcastJoinThreshold",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
-    dims = skewed.where("k IS NOT NULL").select("k").distinct().withColumn("name", F.upper("k"))
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "4kb")
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4kb")
-        left = joins.add_attributes(skewed, dims, "k")
-        inner = joins.keep_known(skewed, dims, "k")
-        assert (left.count(), inner.count()) == (9000, 6000)
-        counts = {r.k: r["count"] for r in inner.groupBy("k").count().where("count > 1").collect()}
-        assert counts == {"hot": 3000}
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+@pytest.fixture
+def tiny_skew_limits(spark):
+    """Limits under which a few kilobytes count as skew, and nothing is broadcast."""
+    limits = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4kb",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4kb",
+    }
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def executed(df):
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_of_a_dimension_join_is_split(spark, skewed, tiny_skew_limits):
+    numbers = spark.range(9000).where("id % 3 = 1").select(F.col("id").cast("string").alias("k"))
+    dims = numbers.union(spark.range(1).select(F.lit("hot"))).withColumn("name", F.upper("k"))
+    rows, plan = executed(joins.add_attributes(skewed, dims, "k"))
+    assert len(rows) == 9000 and "skew=true" in plan
+    assert sum(r.name is None for r in rows) == 3000
+    rows, plan = executed(joins.keep_known(skewed, dims, "k"))
+    assert len(rows) == 6000 and "skew=true" in plan
+
+
+def test_hot_key_of_a_joined_total_is_split(skewed, tiny_skew_limits):
+    rows, plan = executed(windows.add_joined_total(skewed, skewed, ["k"], "x", "total"))
+    assert len(rows) == 9000 and "skew=true" in plan
 
 
 def test_grand_total_share(spark):

@@ -12,6 +12,7 @@ from spendlake import Settings
 from spendlake.operators.quality import Check, run_checks
 from spendlake.plans.pipeline import Pipeline
 from spendlake.plans.registry import MODELS, select
+from spendlake.plans.reports import REPORTS
 from spendlake.sinks.tables import Layout, Warehouse
 from tests import fixtures as fx
 
@@ -211,3 +212,37 @@ def test_month_models_skip_old_days_of_the_fact(spark, settings):
     pipeline.build(names={"agg_service_monthly_spend"})
     files = planned["agg_service_monthly_spend"].inputFiles()
     assert files and all("usage_date=2024-02" in f for f in files)
+
+
+def test_hot_day_is_written_as_several_files(spark, settings, tmp_path):
+    """A third of the rows on one day do not end up in one task or file."""
+    day = F.when(F.col("id") % 3 == 0, F.lit(date(2024, 1, 1))).otherwise(
+        F.date_add(F.lit(date(2024, 1, 2)), (F.col("id") % 20).cast("int"))
+    )
+    rows = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("a"), day.alias("usage_date"))
+    rows.repartition(8).write.parquet(str(tmp_path / "in"))
+    option = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(option)
+    try:
+        spark.conf.set(option, "200kb")
+        warehouse = Warehouse(spark, settings)
+        warehouse.replace("t", spark.read.parquet(str(tmp_path / "in")), Layout("usage_date", ("a",)))
+    finally:
+        spark.conf.set(option, before)
+    files = warehouse.read("t").select("usage_date", F.input_file_name().alias("f")).distinct()
+    counts = {r.usage_date: r["count"] for r in files.groupBy("usage_date").count().collect()}
+    assert counts[date(2024, 1, 1)] > 1 and counts[date(2024, 1, 5)] == 1
+
+
+def test_reports_run_on_stored_models(spark, settings):
+    pipeline = Pipeline(spark, landed(spark, fx.january_lines()), settings)
+    pipeline.build()
+    options = {"usage_id": "u1", "month": date(2024, 1, 1)}
+    counts = {name: pipeline.report(name, **options).count() for name in REPORTS}
+    assert counts == {
+        "usage_line": 1, "grain_check": 1, "credits_of_line": 2, "labels_of_line": 4,
+        "first_subscriptions": 6, "spend_vs_revenue": 2, "top_cost_drivers": 2, "spend_spikes": 3,
+        "unallocated_share": 2, "spend_by_environment": 3, "customer_360": 3,
+    }
+    with pytest.raises(ValueError, match="usage_id"):
+        pipeline.report("usage_line")
