@@ -29,6 +29,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--base", required=True, help="folder all executors share")
     parser.add_argument("--source", help="folder with <table>.json or <table>.ndjson exports")
     parser.add_argument("--database", default="spendlake")
+    parser.add_argument("--landing-database", default="landing")
     parser.add_argument("--incremental", action="store_true")
     parser.add_argument("--full-refresh", action="store_true")
     parser.add_argument("--lookback-days", type=int, default=3)
@@ -77,6 +78,7 @@ def main() -> int:
         incremental=args.incremental,
         as_of=args.as_of,
         database=args.database,
+        landing_database=args.landing_database,
         base_path=args.base,
     )
     pipeline = Pipeline(spark, _landed(spark, args.base), settings)

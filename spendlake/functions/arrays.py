@@ -9,9 +9,14 @@ from spendlake.functions.numbers import as_column
 
 
 def label_value(labels: Column | str, key: str) -> Column:
-    """Value of the first label called ``key``; NULL when the row has none."""
-    matching = F.filter(as_column(labels), lambda label: label["key"] == key)
-    return F.get(matching, F.lit(0))["value"]
+    """Value of the first label called ``key``; NULL when the row has none.
+
+    Works on the array of keys and the array of values, without a lambda, so it is compiled
+    with the rest of the projection.
+    """
+    pairs = as_column(labels)
+    position = F.array_position(pairs["key"], key)  # 0 when absent, and get(-1) is NULL
+    return F.get(pairs["value"], (position - 1).cast("int"))
 
 
 def array_total(items: Column | str, field: str) -> Column:

@@ -50,7 +50,7 @@ def dim_customers(
         F.count(F.lit(1)).alias("billing_account_count"),
         catalogue_count("cloud_provider").alias("cloud_provider_count"),
         # NULL, not '', when no account names a provider.
-        F.nullif(text_list(providers), F.lit("")).alias("cloud_providers"),
+        F.when(F.array_size(providers) > 0, text_list(providers)).alias("cloud_providers"),
         F.min("activated_on").alias("first_account_activated_on"),
     )
     primary = (

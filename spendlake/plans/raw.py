@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlake.settings import Settings
+
 
 def stamp(landed: DataFrame, source_name: str) -> DataFrame:
     """All landed columns, then ``_source_table`` and ``_loaded_at``."""
@@ -13,13 +15,13 @@ def stamp(landed: DataFrame, source_name: str) -> DataFrame:
     )
 
 
-def raw_customers(customers: DataFrame, source_name: str = "landing.customers") -> DataFrame:
-    return stamp(customers, source_name)
+def raw_customers(customers: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    return stamp(customers, f"{settings.landing_database}.customers")
 
 
-def raw_products(products: DataFrame, source_name: str = "landing.products") -> DataFrame:
-    return stamp(products, source_name)
+def raw_products(products: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    return stamp(products, f"{settings.landing_database}.products")
 
 
-def raw_cloud_usage(usage: DataFrame, source_name: str = "landing.cloud_usage") -> DataFrame:
-    return stamp(usage, source_name)
+def raw_cloud_usage(usage: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    return stamp(usage, f"{settings.landing_database}.cloud_usage")

@@ -19,6 +19,7 @@ class Settings:
     the usage models only rebuild the partitions inside the lookback window, unless
     ``full_refresh`` asks for the whole history without dropping the tables.
     ``as_of`` fixes the date tenures are measured against; unset means today.
+    ``landing_database`` is the name the raw models stamp their rows with.
     """
 
     reporting_currency: str = "USD"
@@ -27,6 +28,7 @@ class Settings:
     full_refresh: bool = False
     as_of: date | None = None
     database: str = "spendlake"
+    landing_database: str = "landing"
     base_path: str | None = None
 
     def as_of_date(self) -> Column:

@@ -44,6 +44,12 @@ def _numbered(count: Column, element: Callable[[Column], Column]) -> Column:
     return F.transform(numbers, element)
 
 
+def _present(*candidates: tuple[Column, Column]) -> Column:
+    """Array of the elements whose condition holds, in the order given."""
+    parts = [F.when(condition, F.array(element)) for condition, element in candidates]
+    return F.concat(*[F.coalesce(part, F.array()) for part in parts])
+
+
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Nested customer records, with 0 to 3 contacts, subscriptions and accounts each."""
     nation = read_table(spark, folder, "nation")
@@ -197,32 +203,27 @@ def cloud_usage(spark: SparkSession, folder: str) -> DataFrame:
             amount.alias("amount_usd"),
         )
 
-    # A candidate whose condition fails is NULL and is filtered out of the array.
-    credits = F.filter(
-        F.array(
-            F.when(line % 3 == 0, credit("committed_use_discount", "1", price * -0.02)),
-            F.when(F.col("l_returnflag") == "R", credit("promotional_credit", "2", F.col("l_quantity") * -0.5)),
-            F.when(F.col("l_tax") >= 0.07, credit("reseller_discount", "3", price * -0.01)),
+    credits = _present(
+        (line % 3 == 0, credit("committed_use_discount", "1", price * -0.02)),
+        (
+            F.col("l_returnflag") == "R",
+            credit("promotional_credit", "2", F.col("l_quantity") * -0.5),
         ),
-        lambda c: c.isNotNull(),
+        (F.col("l_tax") >= 0.07, credit("reseller_discount", "3", price * -0.01)),
     )
 
     def label(key: str, value: Column) -> Column:
         return F.struct(F.lit(key).alias("key"), value.alias("value"))
 
-    labels = F.filter(
-        F.array(
-            label(
-                "env",
-                F.when(F.col("o_orderstatus") == "F", "prod")
-                .when(F.col("o_orderstatus") == "O", "dev")
-                .otherwise("staging"),
-            ),
-            label("team", _text("team-", F.substring("o_orderpriority", 1, 1))),
-            F.when(order % 10 < 7, label("cost_centre", _text("cc-", supplier % 8))),
-            F.when(order % 20 < 7, label("app", _text("app-", F.col("l_partkey") % 12))),
-        ),
-        lambda item: item.isNotNull(),
+    status = F.col("o_orderstatus")
+    environment = F.when(status == "F", "prod").when(status == "O", "dev").otherwise("staging")
+    always = F.array(
+        label("env", environment),
+        label("team", _text("team-", F.substring("o_orderpriority", 1, 1))),
+    )
+    sometimes = _present(
+        (order % 10 < 7, label("cost_centre", _text("cc-", supplier % 8))),
+        (order % 20 < 7, label("app", _text("app-", F.col("l_partkey") % 12))),
     )
     day = F.to_date("l_shipdate")
     return df.select(
@@ -267,7 +268,7 @@ def cloud_usage(spark: SparkSession, folder: str) -> DataFrame:
             (price * F.col("l_tax")).alias("optimisation_savings_usd"),
         ).alias("savings"),
         F.when(line != 7, credits).alias("credits"),
-        labels.alias("labels"),
+        F.concat(always, sometimes).alias("labels"),
     )
 
 

@@ -211,7 +211,7 @@ def sink_view(spark: SparkSession, folder: str) -> DataFrame:
 def sink_table(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _warehouse(spark)
     lines = _event_lines(spark, folder)
-    warehouse.replace("lines", lines.limit(0))
+    warehouse.replace("lines", lines.where(F.lit(False)))
     warehouse.replace("lines", lines)
     return warehouse.read("lines")
 
