@@ -51,8 +51,11 @@ def rank_by_amount(
     df: DataFrame, keys: Sequence[str], amount: str, tie_break: Sequence[str], rank: str
 ) -> DataFrame:
     """Row number by falling amount; the tie break makes equal amounts deterministic."""
-    ordered = Window.partitionBy(*keys).orderBy(F.desc(amount), *tie_break)
-    return df.withColumn(rank, F.row_number().over(ordered))
+    return df.withColumn(rank, _position(keys, amount, tie_break).cast("long"))
+
+
+def _position(keys: Sequence[str], amount: str, tie_break: Sequence[str]) -> Column:
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(amount), *tie_break))
 
 
 def add_window_total(df: DataFrame, keys: Sequence[str], amount: str, total: str) -> DataFrame:
@@ -101,4 +104,6 @@ def top_per_group(
     rank: str = "rank",
 ) -> DataFrame:
     """The ``n`` largest rows of each group; Spark limits each group before the shuffle."""
-    return rank_by_amount(df, keys, amount, tie_break, rank).where(F.col(rank) <= n)
+    # The cast comes after the filter: Spark only limits groups early on the bare row number.
+    top = df.withColumn(rank, _position(keys, amount, tie_break)).where(F.col(rank) <= n)
+    return top.withColumn(rank, F.col(rank).cast("long"))

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql.types import StructType
 
 from spendlake.sources import landing
 from spendlake.sources.schemas import CUSTOMERS, PRODUCTS
@@ -59,3 +60,11 @@ def test_absent_file_is_skipped(spark, tmp_path):
 
 def test_empty_array(spark, tmp_path):
     assert land(spark, tmp_path, "[]") == 0
+
+
+def test_inferred_fields_are_those_of_the_schema(spark, tmp_path):
+    (tmp_path / "x.json").write_text(json.dumps({**PRODUCT, "features": [
+        {"feature_code": "f", "feature_name": "F", "availability": "GA", "min_tier": "T"}]}))
+    found = landing.field_paths(landing.infer_schema(spark, str(tmp_path / "x.json")))
+    assert found == landing.field_paths(StructType.fromDDL(PRODUCTS))
+    assert "pricing.tiers.rate_pct" in found

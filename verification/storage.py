@@ -13,7 +13,6 @@ from datetime import date, timedelta
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from spendlake.functions import exact_sum
 from spendlake.operators import quality
@@ -148,14 +147,31 @@ def land_strict_schema(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("infer_nested_schema")
+@query(
+    "infer_nested_schema",
+    sql(
+        """SELECT usage_id, customer_id, net_cost_usd, is_flexsave_eligible, credit_count,
+               label_count FROM usage""",
+        "usage",
+    ),
+)
 def infer_nested_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines read with the schema found in the files: structs and arrays keep their shape."""
     base = shared_folder(spark)
     star_tables.cloud_usage(spark, folder).write.json(f"{base}/export")
     found = landing.infer_schema(spark, f"{base}/export")
-    known = landing.field_paths(StructType.fromDDL(CLOUD_USAGE))
-    rows = [(path, path in known) for path in sorted(landing.field_paths(found))]
-    return spark.createDataFrame(rows, "field_path string, is_known boolean")
+    return (
+        spark.read.schema(found)
+        .json(f"{base}/export")
+        .select(
+            "usage_id",
+            "customer_id",
+            "cost.net_cost_usd",
+            F.col("savings.flexsave_eligible").alias("is_flexsave_eligible"),
+            F.array_size("credits").cast("long").alias("credit_count"),
+            F.array_size("labels").cast("long").alias("label_count"),
+        )
+    )
 
 
 @query(
