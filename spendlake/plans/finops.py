@@ -53,10 +53,10 @@ def fct_cloud_usage_daily(
     account_attributes = accounts.select(
         "billing_account_id", "billing_currency", "payment_terms", "is_reseller_account"
     )
-    # Customers last: when both joins shuffle, the rows end up partitioned by customer, which
-    # is what every aggregate of this fact groups by.
-    placed = add_attributes(usage, account_attributes, "billing_account_id")
-    joined = keep_known(placed, customers.select(*CUSTOMER_ATTRIBUTES), "customer_id")
+    # Accounts last: the rows then lie by account, so the aggregates by customer that follow
+    # combine map-side and shuffle anew, and a hot customer is not met raw in one task.
+    known = keep_known(usage, customers.select(*CUSTOMER_ATTRIBUTES), "customer_id")
+    joined = add_attributes(known, account_attributes, "billing_account_id")
     return joined.select(
         "usage_id",
         "usage_date",

@@ -47,6 +47,9 @@ SESSION_OPTIONS = {
     # Split a hot join key even where the next operator wanted that partitioning.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Group on all keys even if the rows already lie by one of them, say the customer after a
+    # join: otherwise a hot customer's rows are aggregated raw in one task.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     # Lets a rebalance before a write cut a hot day into several files.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }

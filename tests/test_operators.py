@@ -1,6 +1,7 @@
 """Operators on skewed and awkward rows, against brute force."""
 
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -92,6 +93,14 @@ def test_hot_key_of_a_joined_total_is_split(skewed, tiny_skew_limits):
     assert len(rows) == 9000 and "skew=true" in plan
 
 
+def test_grouping_after_a_join_shuffles_on_all_keys(spark, skewed, tiny_skew_limits):
+    """Rows that lie by a hot key after a join are combined before they are grouped."""
+    dims = spark.range(9000).select(F.col("id").cast("string").alias("k"))
+    grouped = joins.keep_known(skewed, dims, "k").groupBy("k", "x").count()
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(k#\d+, x#\d+", plan)
+
+
 def test_grand_total_share(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "k string, x double")
     got = {r.k: r.pct for r in windows.add_grand_total_share(df, "x", "pct").collect()}
