@@ -3,10 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from verification.catalog import ORACLES, QUERIES
 from verification.compare import connect, differences
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(small_folder):
@@ -26,3 +25,5 @@ def test_entry(spark):
 
 def test_every_query_has_its_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
