@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import bpe, exact_dedup, mixing, quality_classifier, quality_rules, sharding
+from spendlake.llm import bpe, exact_dedup, mixing, near_dedup, quality_classifier, quality_rules, sharding
 from spendlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op2_near_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, folder, "documents"), percent=85)
+
+
 @query("op5_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents")
