@@ -102,7 +102,8 @@ def verified_recipes(documents: DataFrame, recipes: DataFrame) -> DataFrame:
     ids = candidates.select(F.col("doc_id").alias("owner")).distinct()
     texts = documents.select(F.col("doc_id").alias("owner"), "text")
     rows = map_arrow(
-        texts.join(ids, texts["owner"].eqNullSafe(ids["owner"]), "left_semi"),
+        # Merged at any size: the ids grow with the data and are never to be broadcast.
+        texts.join(ids.hint("merge"), texts["owner"].eqNullSafe(ids["owner"]), "left_semi"),
         _chunk_rows,
         "owner long, place int, print long, chunk binary",
     )
