@@ -179,5 +179,5 @@ def without_copies(documents: DataFrame) -> DataFrame:
     )
     own = F.sha2(F.coalesce("text", F.lit("")), 256)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_print"))
-    rows = documents.withColumn("_text", own).join(stay, same)
+    rows = documents.withColumn("_text", own).join(stay.hint("merge"), same)
     return rows.dropDuplicates(["_id", "_print"]).select(*documents.columns)

@@ -303,7 +303,7 @@ def mixed_documents(documents: DataFrame, **settings: object) -> DataFrame:
     )
     rows = documents.withColumn("_words", n_words(F.col("text")))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size"))
-    joined = rows.join(ranges, same)
+    joined = rows.join(ranges.hint("merge"), same)
     words = F.array_remove(F.split("text", BLANKS), "")
     part = let(
         words,

@@ -179,7 +179,7 @@ def _sets(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFra
     """``node, items``: the full shingle sets of some classes, from one document of each."""
     wanted = classes.join(nodes, "node", "left_semi").select("doc_id", "node")
     texts = documents.select(F.col("doc_id").cast("long").alias("_id"), "text")
-    rows = texts.join(wanted, texts["_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
+    rows = texts.join(wanted.hint("merge"), texts["_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
 
     def fill(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingles(t) for t in utf8(batch.column("text"))]
@@ -336,4 +336,4 @@ def without_near_copies(documents: DataFrame, percent: int = 80) -> DataFrame:
     """The documents that stay, one of each component; rows that repeat its id stay with it."""
     stay = near_duplicates(documents, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-    return documents.join(stay, same, "left_semi").select(*documents.columns)
+    return documents.join(stay.hint("merge"), same, "left_semi").select(*documents.columns)
