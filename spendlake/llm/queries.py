@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import bpe, exact_dedup, mixing, near_dedup, quality_classifier, quality_rules, sharding
+from spendlake.llm import (
+    bpe,
+    exact_dedup,
+    lm_score,
+    mixing,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    sharding,
+)
 from spendlake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +92,21 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, folder, "documents"), percent=85)
 
 
+@query("op4_lm_score")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    model, counts = lm_score.train(documents.where(~lm_score.held_out(F.col("doc_id"))))
+    return lm_score.score(documents, model, counts).select(
+        "doc_id",
+        lm_score.held_out(F.col("doc_id")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @query("op5_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents")
