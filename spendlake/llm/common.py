@@ -8,7 +8,9 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -43,6 +45,26 @@ def stored(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit hashes of 64-bit numbers, all bits of which depend on all bits."""
+    for _ in range(2):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; remembers a bounded number of them."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 400_000:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]

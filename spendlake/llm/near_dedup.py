@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import map_arrow, ship, stored, utf8
+from spendlake.llm.common import WordHashes, map_arrow, mixed, ship, stored, utf8
 from spendlake.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -49,21 +49,7 @@ _XOR = _rng.integers(0, 2**64, COORDINATES, dtype=np.uint64)
 _TIMES = _rng.integers(0, 2**64, COORDINATES, dtype=np.uint64) | np.uint64(1)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _Hashes()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    for _ in range(2):
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+_HASHES = WordHashes()
 
 
 def shingles(text: bytes, width: int = SHINGLE_WORDS) -> np.ndarray:
@@ -71,13 +57,13 @@ def shingles(text: bytes, width: int = SHINGLE_WORDS) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    hashed = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashed = _HASHES.of(words)
     width = min(width, len(words))
     n = len(words) - width + 1
     result = np.full(n, width, dtype=np.uint64)
     for i in range(width):
         result = result * _ODD + hashed[i : n + i]
-    return np.unique(_mixed(result))
+    return np.unique(mixed(result))
 
 
 def signature(values: np.ndarray) -> np.ndarray:
@@ -120,7 +106,7 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
 def _keys(signatures: pa.Array) -> np.ndarray:
     """Hashes of the (coordinate, value) pairs, a row per class."""
     values = np.frombuffer(b"".join(signatures.to_pylist()), dtype="<u4").reshape(-1, COORDINATES)
-    return _mixed(values.astype(np.uint64) + (np.arange(COORDINATES, dtype=np.uint64) << np.uint64(32)))
+    return mixed(values.astype(np.uint64) + (np.arange(COORDINATES, dtype=np.uint64) << np.uint64(32)))
 
 
 def _bucket(keys: np.ndarray) -> np.ndarray:

@@ -16,6 +16,8 @@ from spendlake.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    substring_dedup,
+    suffix_dedup,
 )
 from spendlake.llm.common import read
 
@@ -92,6 +94,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, folder, "documents"), percent=85)
 
 
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(read(spark, folder, "documents")).drop("kept")
+
+
 @query("op4_lm_score")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").select("doc_id", "text")
@@ -119,6 +126,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.Mixture(read(spark, folder, "documents")).taken()
 
 
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read(spark, folder, "documents")).drop("kept")
+
+
 @query(
     "op8_exact_dedup",
     """
