@@ -257,13 +257,15 @@ class Mixture:
 
     def mixed(self) -> DataFrame:
         """The pieces of documents in each slot: shard, slot, doc_id, size, start, end, turn."""
-        return self.slots.join(self.pieces, ["number", "block"])
+        # Spark takes the slots for as small as the list of shards and would broadcast them.
+        return self.slots.hint("merge").join(self.pieces, ["number", "block"])
 
     def taken(self) -> DataFrame:
         """Per document: doc_id, size, source_size, target, taken (words the mix takes)."""
         words = (
             self.slots.groupBy("number", "block")
             .agg(F.count("*").alias("_times"))
+            .hint("merge")
             .join(self.pieces, ["number", "block"])
             .groupBy("number", "doc_id", "size")
             .agg(F.sum(F.col("_times") * (F.col("end") - F.col("start"))).alias("_taken"))
@@ -272,7 +274,7 @@ class Mixture:
             F.count("*").alias("_rows")
         )
         joined = rows.join(
-            words.withColumnsRenamed({"doc_id": "_id", "size": "_size"}).withColumnRenamed("number", "_number"),
+            words.withColumnsRenamed({"doc_id": "_id", "size": "_size", "number": "_number"}).hint("merge"),
             (F.col("number") == F.col("_number"))
             & F.col("doc_id").eqNullSafe(F.col("_id"))
             & (F.col("size") == F.col("_size")),
