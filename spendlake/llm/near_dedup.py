@@ -148,7 +148,7 @@ def postings(classes: DataFrame, matches: int) -> DataFrame:
 def _agreeing(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
     """The pairs whose signatures agree in enough coordinates."""
     side = classes.select("node", "signature")
-    both = pairs.join(side.toDF("a", "_left"), "a").join(side.toDF("b", "_right"), "b")
+    both = pairs.join(side.toDF("a", "_left").hint("merge"), "a").join(side.toDF("b", "_right").hint("merge"), "b")
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
         same = (_rows(batch.column("_left")) == _rows(batch.column("_right"))).sum(axis=1)
@@ -187,7 +187,7 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, perce
     pairs = stored(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = stored(_sets(documents, classes, nodes))
-    both = pairs.join(sets.toDF("a", "_left"), "a").join(sets.toDF("b", "_right"), "b")
+    both = pairs.join(sets.toDF("a", "_left").hint("merge"), "a").join(sets.toDF("b", "_right").hint("merge"), "b")
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
         left, right = (batch.column(c).to_pylist() for c in ("_left", "_right"))
@@ -258,7 +258,8 @@ def near_links(documents: DataFrame, classes: DataFrame, percent: int) -> DataFr
     matches = least_matches(percent)
     posted = postings(classes, matches)
     lists = posted.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
-    met = stored(posted.join(lists, "key"))
+    # Merged: the postings are many times the rows Spark estimates from the classes.
+    met = stored(posted.join(lists.hint("merge"), "key"))
     pairs = met.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(_confirmed(_agreeing(pairs, classes, matches), documents, classes, percent))
     stars = components(links)
