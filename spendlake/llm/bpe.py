@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from spendlake.llm.common import map_arrow, with_fields
 
 #: Words whose encoding a worker remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Byte transitions of the automaton that a worker remembers.
-REMEMBERED_STEPS = 500_000
+REMEMBERED_STEPS = 250_000
 
 #: Fixed by the tokenizer: how words are split before merging.
 SPLIT = regex.compile(
