@@ -9,10 +9,11 @@ from spendlake.functions.dates import (
     utc_date,
 )
 from spendlake.functions.numbers import (
-    catalogue_count,
+    amount_parts,
     day_count,
     exact_mean,
     exact_sum,
+    joined_amount,
     key_of,
     ratio,
     zero_if_null,
@@ -21,11 +22,12 @@ from spendlake.functions.numbers import (
 __all__ = [
     "array_count",
     "array_total",
-    "catalogue_count",
+    "amount_parts",
     "day_count",
     "day_name",
     "exact_mean",
     "exact_sum",
+    "joined_amount",
     "is_weekend",
     "key_of",
     "label_value",

@@ -10,19 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def broadcast_when_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unchanged.
-
-    For sides Spark cannot size beforehand, such as the result of an aggregation: without the
-    mark both sides are shuffled before the small one is noticed.  Counting runs ``df`` once,
-    so it must be much cheaper than shuffling the other side.
-    """
-    counted = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else df
+from spendlake.functions import amount_parts, joined_amount
 
 
 def keep_known(facts: DataFrame, dimension: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -79,6 +70,58 @@ def live_months(
     ).drop("_from_month", "_to_month")
 
 
+def live_totals(
+    intervals: DataFrame,
+    keys: Sequence[str],
+    amount: str,
+    first_month: Column,
+    last_month: Column,
+    total: str,
+    count: str,
+    start: str = "start_date",
+    end: str = "end_date",
+    month: str = "usage_month",
+) -> DataFrame:
+    """Sum of an amount and number of the intervals live per key and month, if there are any.
+
+    The totals of :func:`live_months` without a row per interval and month: an interval adds its
+    amount in its first month and takes it away after its last one, and a running sum over the
+    months with a change, at most one row each per key, gives the totals.  Sums are exact, so
+    what is taken away leaves nothing behind.
+    """
+    from_month = F.greatest(F.trunc(F.col(start), "MM"), first_month)
+    to_month = F.least(F.coalesce(F.trunc(F.col(end), "MM"), last_month), last_month)
+    bounded = (
+        intervals.where(F.col(start).isNotNull())
+        .withColumns({"_from_month": from_month, "_to_month": to_month})
+        .where(F.col("_from_month") <= F.col("_to_month"))
+    )
+    parts = [f"_part{i}" for i, _ in enumerate(amount_parts(amount))]
+    known = F.when(F.col(amount).isNotNull(), 1).otherwise(0)
+    values = {"_live": F.lit(1), "_known": known} | {
+        name: F.coalesce(part, F.lit(0)) for name, part in zip(parts, amount_parts(amount), strict=True)
+    }
+    steps = F.array(F.struct(F.col("_from_month").alias("m"), F.lit(1).alias("sign")),
+                    F.struct(F.add_months("_to_month", 1).alias("m"), F.lit(-1).alias("sign")))
+    changes = (
+        bounded.withColumns(values)
+        .withColumn("_step", F.explode(steps))
+        .groupBy(*keys, F.col("_step.m").alias(month))
+        .agg(*[F.sum(F.col("_step.sign") * F.col(name)).alias(name) for name in values])
+    )
+    order = Window.partitionBy(*keys).orderBy(month)
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.coalesce(F.add_months(F.lead(month).over(order), -1), last_month)
+    levels = changes.withColumns(
+        {name: F.sum(name).over(running) for name in values} | {"_until": until}
+    ).where("_live > 0")
+    one_month = F.make_ym_interval(F.lit(0), F.lit(1))
+    sums = joined_amount([F.col(part) for part in parts])
+    return levels.withColumn(month, F.explode(F.sequence(month, "_until", one_month))).select(
+        *keys, month, F.when(F.col("_known") > 0, sums).alias(total), F.col("_live").cast("long").alias(count)
+    )
+
+
 def live_in_listed_months(
     months: DataFrame,
     intervals: DataFrame,

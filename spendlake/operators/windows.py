@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlake.functions import exact_mean, exact_sum, ratio
-from spendlake.operators.joins import broadcast_when_small
 
 
 def add_trend(
@@ -69,28 +68,27 @@ def add_joined_total(
     keys: Sequence[str],
     amount: str,
     total: str,
-    expect_few_groups: bool = False,
 ) -> DataFrame:
     """Group total of ``source`` joined onto ``df``, for groups of any size.
 
     The total is combined map-side, so a key that holds a third of the rows costs its
     reducer one row per map task; a window would bring all its rows into one task.  ``source``
-    may be the finer rows ``df`` was aggregated from: exact sums make both the same.  Keys
-    match NULL to NULL, as a window partition does.  With ``expect_few_groups`` the totals are
-    counted first and broadcast if there are indeed few, which spares ``df`` the shuffle.
+    may be ``df`` itself: the step that made it is then shuffled once and used twice.  Keys
+    match NULL to NULL, as a window partition does.
     """
     names = {key: f"_total_{key}" for key in keys}
     totals = source.groupBy(*[F.col(key).alias(name) for key, name in names.items()]).agg(
         exact_sum(amount).alias(total)
     )
-    if expect_few_groups:
-        totals = broadcast_when_small(totals)
     matches = [df[key].eqNullSafe(totals[name]) for key, name in names.items()]
     return df.join(totals, matches, "left").drop(*names.values())
 
 
 def add_grand_total_share(df: DataFrame, amount: str, share: str) -> DataFrame:
-    """Percentage of the grand total, from a one-row subquery instead of an unpartitioned window."""
+    """Percentage of the grand total, from a one-row subquery instead of an unpartitioned window.
+
+    Where ``df`` is an aggregate, subquery and rows share its shuffle: it is computed once.
+    """
     grand_total = df.agg(exact_sum(amount).alias("grand_total")).scalar()
     return df.withColumn(share, 100.0 * F.col(amount) / F.nullif(grand_total, F.lit(0.0)))
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.functions import (
-    catalogue_count,
     day_count,
     exact_sum,
     key_of,
@@ -14,7 +13,7 @@ from spendlake.functions import (
     ratio,
     zero_if_null,
 )
-from spendlake.operators.joins import add_attributes, keep_known, live_months
+from spendlake.operators.joins import add_attributes, keep_known, live_totals
 from spendlake.operators.windows import (
     add_joined_total,
     add_trend,
@@ -114,7 +113,7 @@ def agg_customer_daily_spend(fact: DataFrame) -> DataFrame:
     ]
     daily = fact.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("usage_line_count"),
-        catalogue_count("service_id").alias("service_count"),
+        F.count_distinct("service_id").alias("service_count"),
         F.count_distinct("project_id").alias("project_count"),
         *_sums(COST_MEASURES + SAVING_MEASURES),
     )
@@ -140,14 +139,14 @@ def subscription_revenue(subscriptions: DataFrame, months: DataFrame) -> DataFra
     cover the months asked for.  A subscription counts whatever its status.
     """
     bounds = months.agg(F.min("usage_month").alias("first"), F.max("usage_month").alias("last"))
-    live = live_months(
+    return live_totals(
         subscriptions.select("customer_id", "mrr_usd", "start_date", "end_date"),
+        ["customer_id"],
+        "mrr_usd",
         bounds.select("first").scalar(),
         bounds.select("last").scalar(),
-    )
-    return live.groupBy("customer_id", "usage_month").agg(
-        exact_sum("mrr_usd").alias("subscription_mrr_usd"),
-        F.count(F.lit(1)).alias("live_subscription_count"),
+        total="subscription_mrr_usd",
+        count="live_subscription_count",
     )
 
 
@@ -166,8 +165,8 @@ def agg_customer_monthly_spend(
     monthly = fact.groupBy(*keys).agg(
         day_count("usage_date").alias("active_days"),
         F.count_distinct("billing_account_id").alias("billing_account_count"),
-        catalogue_count("cloud_provider").alias("cloud_provider_count"),
-        catalogue_count("service_id").alias("service_count"),
+        F.count_distinct("cloud_provider").alias("cloud_provider_count"),
+        F.count_distinct("service_id").alias("service_count"),
         *_sums(COST_MEASURES + SAVING_MEASURES),
         exact_sum(F.when(F.col("is_flexsave_eligible"), F.col("effective_cost_usd"))).alias(
             "flexsave_eligible_cost_usd"
@@ -220,8 +219,8 @@ def agg_service_monthly_spend(fact: DataFrame) -> DataFrame:
     ).agg(
         F.count(F.lit(1)).alias("usage_line_count"),
         F.count_distinct("sku_id").alias("sku_count"),
-        catalogue_count("cloud_region").alias("region_count"),
-        F.sum("usage_quantity").alias("usage_quantity"),
+        F.count_distinct("cloud_region").alias("region_count"),
+        exact_sum("usage_quantity").alias("usage_quantity"),
         *_sums([*COST_MEASURES, "total_savings_usd"]),
     )
     month = ["customer_id", "usage_month"]
@@ -239,17 +238,16 @@ def agg_service_monthly_spend(fact: DataFrame) -> DataFrame:
     )
 
 
-def agg_cost_allocation_monthly(fact: DataFrame) -> DataFrame:
-    """Spend per customer, month, provider and label bucket, with the share of the month.
+def allocated_spend(fact: DataFrame) -> DataFrame:
+    """Spend per customer, month, provider and label bucket, from one pass over the fact.
 
-    Labels are free text, so the buckets of one customer month have no bound: the total is
-    joined, not computed as a window.
+    Reports that need no share of the month start here and spare the total.
     """
     buckets = {
         name: F.coalesce(F.col(name), F.lit(UNALLOCATED))
         for name in ("environment", "team", "cost_centre", "application")
     }
-    allocated = fact.groupBy(
+    return fact.groupBy(
         "customer_id",
         "customer_name",
         "customer_segment",
@@ -263,9 +261,18 @@ def agg_cost_allocation_monthly(fact: DataFrame) -> DataFrame:
             "unallocated_cost_usd"
         ),
     )
+
+
+def agg_cost_allocation_monthly(fact: DataFrame) -> DataFrame:
+    """Spend per label bucket with its share of the customer's month.
+
+    Labels are free text, so the buckets of one customer month have no bound: the total is
+    joined, not computed as a window.  It comes from three columns of the fact, which is less
+    than summing the buckets again.
+    """
     total = "customer_month_effective_cost_usd"
     with_total = add_joined_total(
-        allocated, fact, ["customer_id", "usage_month"], "effective_cost_usd", total
+        allocated_spend(fact), fact, ["customer_id", "usage_month"], "effective_cost_usd", total
     )
     return with_total.withColumns(
         {

@@ -7,6 +7,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from spendlake.functions import exact_sum
 from spendlake.operators import joins, quality, windows
 
 
@@ -15,6 +16,31 @@ def last_day(month):
     return following - timedelta(days=1)
 
 
+def test_live_totals_equal_a_row_per_interval_and_month(spark):
+    """Running sums of what starts and ends leave nothing behind, with gaps and nulls."""
+    rows = [
+        ("a", 0.1, date(2024, 1, 15), date(2024, 3, 1)),
+        ("a", 0.2, date(2024, 3, 31), date(2024, 3, 31)),
+        ("a", 7.0, date(2023, 1, 1), None),
+        ("b", 1e-9, date(2024, 2, 1), date(2024, 2, 29)),
+        ("b", None, date(2024, 6, 1), date(2024, 6, 2)),
+        ("b", 5.5, date(2024, 6, 9), date(2024, 12, 31)),
+        ("c", 1.0, date(2020, 1, 1), date(2020, 2, 1)),
+        ("c", 1.0, None, None),
+        (None, 2.5, date(2024, 7, 1), None),
+    ]
+    df = spark.createDataFrame(rows, "k string, x double, start_date date, end_date date")
+    first, last = F.lit(date(2024, 1, 1)), F.lit(date(2024, 8, 1))
+    expected = (
+        joins.live_months(df, first, last)
+        .groupBy("k", "usage_month")
+        .agg(exact_sum("x").alias("total"), F.count("*").alias("n"))
+    )
+    got = joins.live_totals(df, ["k"], "x", first, last, "total", "n")
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert got.count() == 8 + 1 + 3 + 2
+
+
 def test_live_months_equals_the_overlap_condition(spark):
     rng = random.Random(5)
     first = date(2023, 1, 1)

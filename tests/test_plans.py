@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendlake.functions import label_value
-from spendlake.plans import core, finops, staging
+from spendlake.plans import core, finops, reports, staging
 from spendlake.settings import Settings
 from tests import fixtures as fx
 from verification.catalog import Models
@@ -54,6 +54,23 @@ def test_monthly_total_of_allocation_reads_three_columns(stored):
     assert sorted(re.findall(r"(\w+):", narrow)) == ["customer_id", "effective_cost_usd", "usage_month"]
 
 
+def test_unallocated_share_scans_the_fact_once(stored):
+    """Rows and grand total share the shuffle of the groups."""
+    report = reports.unallocated_share(finops.allocated_spend(stored[2]))
+    report.collect()
+    final = plan(report).split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan parquet", final)) <= 1 and "ReusedExchange" in final
+
+
+def test_no_mart_holds_sets_while_it_groups(stored):
+    for model in (
+        finops.agg_customer_daily_spend,
+        finops.agg_service_monthly_spend,
+        finops.allocated_spend,
+    ):
+        assert "ObjectHashAggregate" not in plan(model(stored[2]))
+
+
 def test_filters_reach_the_scan(stored):
     assert "EqualTo(usage_id,u1)" in plan(stored[1].where("usage_id = 'u1'"))
 

@@ -161,6 +161,10 @@ class Models:
     def agg_service_monthly_spend(self) -> DataFrame:
         return finops.agg_service_monthly_spend(self.fct_cloud_usage_daily)
 
+    @cached_property
+    def allocated_spend(self) -> DataFrame:
+        return finops.allocated_spend(self.fct_cloud_usage_daily)
+
     @cached_property
     def agg_cost_allocation_monthly(self) -> DataFrame:
         return finops.agg_cost_allocation_monthly(self.fct_cloud_usage_daily)

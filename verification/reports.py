@@ -145,7 +145,7 @@ def spend_spikes(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def unallocated_share(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.unallocated_share(Models(spark, folder).agg_cost_allocation_monthly)
+    return reports.unallocated_share(Models(spark, folder).allocated_spend)
 
 
 @query(
@@ -157,7 +157,7 @@ def unallocated_share(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def spend_by_environment(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.spend_by_environment(Models(spark, folder).agg_cost_allocation_monthly)
+    return reports.spend_by_environment(Models(spark, folder).allocated_spend)
 
 
 @query(
