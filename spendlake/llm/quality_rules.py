@@ -214,15 +214,24 @@ def rejected_by(rules: Sequence[Rule], statistic: Statistic) -> Column:
 def quality_cascade(
     documents: DataFrame,
     rules: Sequence[Rule] = RULES,
-    statistic: Statistic | None = None,
+    text: str = "text",
     sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """The documents with ``rejected_by``, the first rule that rejects each (null: kept).
 
-    ``statistic`` says where statistics come from: by default each rule computes those it needs
-    from the column ``text``; ``F.col`` takes them from columns that are there.
+    Every rule computes the statistics it needs from the text, so a document that is rejected
+    early costs little.
     """
-    statistic = statistic or of_text()
-    return documents.withColumn(
-        "rejected_by", rejected_by(ordered(documents, rules, statistic, sample_rows), statistic)
-    )
+    order = ordered(documents.select(text), rules, of_text(text), sample_rows)
+    return documents.withColumn("rejected_by", rejected_by(order, of_text(text)))
+
+
+def judged_with_statistics(
+    documents: DataFrame,
+    rules: Sequence[Rule] = RULES,
+    text: str = "text",
+    sample_rows: int = SAMPLE_ROWS,
+) -> DataFrame:
+    """The same with a column per statistic: for reports that want all of them of every row."""
+    order = ordered(documents.select(text), rules, of_text(text), sample_rows)
+    return with_statistics(documents, text).withColumn("rejected_by", rejected_by(order, F.col))

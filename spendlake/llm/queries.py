@@ -72,8 +72,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """,
 )
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    documents = quality_rules.with_statistics(read(spark, folder, "documents").select("doc_id", "text"))
-    judged = quality_rules.quality_cascade(documents, statistic=F.col)
+    judged = quality_rules.judged_with_statistics(
+        read(spark, folder, "documents").select("doc_id", "text")
+    )
     base = F.lit(False)
     for rule in quality_rules.BASE_RULES:
         base = base | rule.rejects(F.col)

@@ -83,6 +83,8 @@ def test_cascade_order_never_changes_the_verdict(documents):
     kept = {r["doc_id"] for r in forward.where(verdict).collect()}
     assert {1, 2, 10, 11} <= kept and not kept & {4, 5, 6, 7, 12, 13}
     assert "rejected_by" in forward.columns and "lang" in forward.columns
+    reported = quality_rules.judged_with_statistics(documents).select("doc_id", verdict)
+    assert counted(reported, "doc_id", "kept") == counted(forward.select("doc_id", verdict), "doc_id", "kept")
 
 
 def components_of(percent):
