@@ -267,12 +267,12 @@ def agg_cost_allocation_monthly(fact: DataFrame) -> DataFrame:
     """Spend per label bucket with its share of the customer's month.
 
     Labels are free text, so the buckets of one customer month have no bound: the total is
-    joined, not computed as a window.  It comes from three columns of the fact, which is less
-    than summing the buckets again.
+    joined, not computed as a window.  It is the sum of the buckets' amounts, as a window's would
+    be, so the shares of a month add up to one.
     """
-    total = "customer_month_effective_cost_usd"
+    total, allocated = "customer_month_effective_cost_usd", allocated_spend(fact)
     with_total = add_joined_total(
-        allocated_spend(fact), fact, ["customer_id", "usage_month"], "effective_cost_usd", total
+        allocated, allocated, ["customer_id", "usage_month"], "effective_cost_usd", total
     )
     return with_total.withColumns(
         {

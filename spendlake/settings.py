@@ -56,9 +56,11 @@ SESSION_OPTIONS = {
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Set the options above on a session somebody else created."""
+    """Set the options above on a session somebody else created, where they are not set."""
+    chosen = {key for key, _ in spark.sparkContext.getConf().getAll()}
     for name, value in SESSION_OPTIONS.items():
-        spark.conf.set(name, value)
+        if name not in chosen:
+            spark.conf.set(name, value)
     return spark
 
 

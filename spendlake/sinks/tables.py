@@ -1,11 +1,13 @@
 """Partitioned Parquet tables in the session catalog.
 
-Tables are external, below the base path of the database.  All bookkeeping (partitions, columns,
-comments) is the catalog's; on a cluster with a metastore it outlives the session.
+Tables are external, below the base path of the database.  Bookkeeping is the catalog's; a small
+file next to each table holds its columns, comments, partition column and description too, so
+they outlive a session whose catalog does not.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from spendlake.settings import Settings, shared_folder
-from spendlake.sources.landing import path_exists
+from spendlake.sources.landing import delete_folder, path_exists, read_text, write_text
 
 log = logging.getLogger(__name__)
 
@@ -84,15 +86,17 @@ class Warehouse:
         return f"{self.base_path}/{self.database}/{name}"
 
     def exists(self, name: str) -> bool:
-        """Whether the table is known, after looking for files of an earlier session.
+        """Whether the table is known, after looking for one of an earlier session.
 
-        Without a metastore the catalog starts empty; the files then define the table.
+        Without a metastore the catalog starts empty; the file next to the table defines it.
         """
         if self.spark.catalog.tableExists(f"{self.database}.{name}"):
             return True
-        if not path_exists(self.spark, f"{self.location(name)}/_SUCCESS"):
+        if not path_exists(self.spark, self._notes(name)):
             return False
-        self._define_from_files(name)
+        notes = json.loads(read_text(self.spark, self._notes(name)))
+        schema = StructType.fromJson(notes["schema"])
+        self._define(name, schema, notes["partition"], notes["description"])
         return True
 
     def read(self, name: str) -> DataFrame:
@@ -112,6 +116,7 @@ class Warehouse:
             self.spark.sql(
                 f"COMMENT ON TABLE {self.full_name(name)} IS {_quoted(layout.description)}"
             )
+        self._note(name)
 
     def overwrite_partitions(
         self,
@@ -136,9 +141,9 @@ class Warehouse:
             arrange(batch, layout).write.mode("overwrite").insertInto(self.full_name(name))
         present = sorted(seen.get["present"])
         if drop_vanished:
-            for day in self.partition_dates(name):
-                if (low is None or day >= low) and day not in present:
-                    self._empty_partition(name, column, day)
+            kept = set(present)
+            days = [d for d in self.partition_dates(name) if (low is None or d >= low) and d not in kept]
+            self._drop_partitions(name, column, days)
         return present
 
     def partition_dates(self, name: str) -> list[date]:
@@ -176,6 +181,7 @@ class Warehouse:
             columns = ", ".join(_column_ddl(wanted[n]) for n in added)
             self.spark.sql(f"ALTER TABLE {self.full_name(name)} ADD COLUMNS ({columns})")
         if added or removed:
+            self._note(name)
             log.info("%s: columns added %s, removed %s", name, added, removed)
         return SchemaChange(added, removed)
 
@@ -192,11 +198,18 @@ class Warehouse:
         columns = self.spark.catalog.listColumns(f"{self.database}.{name}")
         return next((c.name for c in columns if c.isPartition), None)
 
-    def _define_from_files(self, name: str) -> None:
-        location = self.location(name)
-        schema = self.spark.read.option("mergeSchema", True).parquet(location).schema
-        folders = path_exists(self.spark, f"{location}/{schema[-1].name}=*")
-        self._define(name, schema, schema[-1].name if folders else None)
+    def _notes(self, name: str) -> str:
+        return f"{self.location(name)}.table.json"
+
+    def _note(self, name: str) -> None:
+        """Write down what the catalog knows of the table, after the change it describes."""
+        table = self.spark.catalog.getTable(f"{self.database}.{name}")
+        notes = {
+            "schema": self.spark.table(self.full_name(name)).schema.jsonValue(),
+            "partition": self._partition_column(name),
+            "description": table.description,
+        }
+        write_text(self.spark, self._notes(name), json.dumps(notes))
 
     def _redefine(self, name: str, schema: StructType) -> None:
         """Define the external table again over the same files; no data moves."""
@@ -218,18 +231,14 @@ class Warehouse:
         if partition:
             self.spark.sql(f"MSCK REPAIR TABLE {self.full_name(name)}")
 
-    def _empty_partition(self, name: str, column: str, day: date) -> None:
-        spec = f"PARTITION (`{column}` = DATE{_quoted(day.isoformat())})"
-        nulls = ", ".join(
-            f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-            for f in self.read(name).schema
-            if f.name != column
-        )
-        # Overwriting with no rows removes the files; dropping alone would leave them behind.
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.full_name(name)} {spec} SELECT {nulls} WHERE false"
-        )
-        self.spark.sql(f"ALTER TABLE {self.full_name(name)} DROP IF EXISTS {spec}")
+    def _drop_partitions(self, name: str, column: str, days: list[date]) -> None:
+        """Forget the partitions in one statement, then delete their files, without a job."""
+        if not days:
+            return
+        specs = ", ".join(f"PARTITION (`{column}` = DATE{_quoted(d.isoformat())})" for d in days)
+        self.spark.sql(f"ALTER TABLE {self.full_name(name)} DROP IF EXISTS {specs}")
+        for day in days:
+            delete_folder(self.spark, f"{self.location(name)}/{column}={day.isoformat()}")
 
     @contextmanager
     def _overwrite_mode(self, mode: str) -> Iterator[None]:

@@ -16,14 +16,37 @@ class LandingError(ValueError):
     """An export file does not have the agreed shape."""
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, whichever Spark can read."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file, folder or glob exists on any file system Spark can read."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    jvm_path, file_system = _file_system(spark, path)
     found = file_system.globStatus(jvm_path)
     return found is not None and len(found) > 0
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jvm_path, file_system = _file_system(spark, path)
+    file_system.delete(jvm_path, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file."""
+    jvm_path, file_system = _file_system(spark, path)
+    stream = file_system.create(jvm_path, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    return spark.read.text(path, wholetext=True).first().value
+
+
 def infer_schema(spark: SparkSession, path: str, multi_line: bool = False) -> StructType:
     """Schema as found in the files: for drafting or checking a schema, not for reading."""
     return spark.read.option("multiLine", multi_line).json(path).schema
@@ -53,29 +76,24 @@ def reject_unknown_fields(
         raise LandingError(f"{path}: unknown fields {sorted(unknown)}")
 
 
-def _reject_non_array(spark: SparkSession, path: str) -> None:
-    """Raise when a file's first line with any text does not open a JSON array.
+def _first_character(spark: SparkSession, path: str) -> str:
+    """The first character of a file that is no white space; no more of it is read."""
+    jvm_path, file_system = _file_system(spark, path)
+    stream = file_system.open(jvm_path)
+    try:
+        while (byte := stream.read()) >= 0:
+            if not chr(byte).isspace():
+                return chr(byte)
+        return ""
+    finally:
+        stream.close()
 
-    Only the first such line of each file counts, so the check reads lines and keeps one
-    row per file.
-    """
-    lines = (
-        spark.read.text(path)
-        .where(F.trim("value") != "")
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.monotonically_increasing_id().alias("position"),
-            F.substring(F.trim("value"), 1, 1).alias("opening"),
-        )
-    )
-    wrong = (
-        lines.groupBy("file")
-        .agg(F.min_by("opening", "position").alias("opening"))
-        .where(F.col("opening") != "[")
-    )
-    bad = wrong.select("file").first()
-    if bad is not None:
-        raise LandingError(f"{bad.file} is not a JSON array")
+
+def _reject_non_array(spark: SparkSession, path: str) -> None:
+    """Raise when the first text of a file does not open a JSON array; reads the files' starts."""
+    for file in spark.read.text(path).inputFiles():
+        if _first_character(spark, file) not in ("[", ""):
+            raise LandingError(f"{file} is not a JSON array")
 
 
 def read_json_array(

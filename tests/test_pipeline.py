@@ -132,6 +132,61 @@ def test_schema_sync(spark, settings):
         warehouse.overwrite_partitions("t", wrong, layout)
 
 
+def test_notes_outlive_the_catalog(spark, settings):
+    """Columns dropped by schema sync stay dropped; comments, description and pruning come back."""
+    warehouse = Warehouse(spark, settings)
+    layout = Layout("usage_date", description="What 'usage' cost", column_comments={"a": "Natural key"})
+    old = spark.createDataFrame([(1, "x", date(2024, 1, 1)), (2, "y", date(2024, 1, 2))], "a int, b string, usage_date date")
+    warehouse.replace("t", old, layout)
+    new = spark.createDataFrame([(3, 0.5, date(2024, 1, 2))], "a int, c double, usage_date date")
+    warehouse.overwrite_partitions("t", new, layout, date(2024, 1, 2))
+    before = content(warehouse.read("t"))
+    spark.sql(f"DROP TABLE {settings.database}.t")
+    again = Warehouse(spark, settings)
+    assert again.exists("t") and again.read("t").columns == ["a", "c", "usage_date"]
+    assert content(again.read("t")) == before
+    assert again.describe_columns("t")["a"] == "Natural key"
+    assert spark.catalog.getTable(f"{settings.database}.t").description == "What 'usage' cost"
+    assert again.partition_dates("t") == [date(2024, 1, 1), date(2024, 1, 2)]
+    assert not again.exists("unknown")
+
+
+def test_vanished_partitions_lose_their_files(spark, settings):
+    warehouse, layout = Warehouse(spark, settings), Layout("usage_date")
+    first = date(2024, 1, 1)
+    old = spark.createDataFrame([(i, first + timedelta(days=i)) for i in range(6)], "a int, usage_date date")
+    warehouse.replace("t", old, layout)
+    new = spark.createDataFrame([(9, first + timedelta(days=4))], "a int, usage_date date")
+    warehouse.overwrite_partitions("t", new, layout, first + timedelta(days=2))
+    assert [d.day for d in warehouse.partition_dates("t")] == [1, 2, 5]
+    files = spark.read.parquet(warehouse.location("t"))
+    assert sorted(r.a for r in files.collect()) == [0, 1, 9]
+
+
+def test_clustering_makes_row_groups_selective(spark, settings):
+    """Sorted files have disjoint ranges of the clustering column, so a filter skips row groups."""
+    import pyarrow.parquet as pq
+
+    rows = spark.range(40_000).select(((F.col("id") * 7919) % 40_000).alias("k"), F.lit("x" * 50).alias("v"))
+    overlaps = {}
+    for name, layout in (("plain", Layout()), ("clustered", Layout(cluster_by=("k",)))):
+        warehouse = Warehouse(spark, settings)
+        option = "parquet.block.size"
+        spark.sparkContext._jsc.hadoopConfiguration().set(option, str(64 * 1024))
+        try:
+            warehouse.replace(name, rows.repartition(2), layout)
+        finally:
+            spark.sparkContext._jsc.hadoopConfiguration().unset(option)
+        files = [f.removeprefix("file:") for f in warehouse.read(name).inputFiles()]
+        groups = [
+            pq.ParquetFile(f).metadata.row_group(i).column(0).statistics
+            for f in files
+            for i in range(pq.ParquetFile(f).metadata.num_row_groups)
+        ]
+        overlaps[name] = sum(g.min <= 12_345 <= g.max for g in groups) / len(groups), len(groups)
+    assert overlaps["clustered"][1] > 2 and overlaps["clustered"][0] < overlaps["plain"][0]
+
+
 def test_comments_are_stored(spark, settings):
     pipeline = Pipeline(spark, landed(spark, fx.january_lines()), settings)
     pipeline.build(names={"raw_cloud_usage"})
@@ -221,14 +276,17 @@ def test_hot_day_is_written_as_several_files(spark, settings, tmp_path):
     )
     rows = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("a"), day.alias("usage_date"))
     rows.repartition(8).write.parquet(str(tmp_path / "in"))
-    option = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(option)
+    # A shuffle wider than the number of days, as a cluster has it.
+    options = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200kb", "spark.sql.shuffle.partitions": "400"}
+    before = {option: spark.conf.get(option) for option in options}
     try:
-        spark.conf.set(option, "200kb")
+        for option, value in options.items():
+            spark.conf.set(option, value)
         warehouse = Warehouse(spark, settings)
         warehouse.replace("t", spark.read.parquet(str(tmp_path / "in")), Layout("usage_date", ("a",)))
     finally:
-        spark.conf.set(option, before)
+        for option, value in before.items():
+            spark.conf.set(option, value)
     files = warehouse.read("t").select("usage_date", F.input_file_name().alias("f")).distinct()
     counts = {r.usage_date: r["count"] for r in files.groupBy("usage_date").count().collect()}
     assert counts[date(2024, 1, 1)] > 1 and counts[date(2024, 1, 5)] == 1
