@@ -67,11 +67,21 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session may fall back to a temporary folder of this machine.  All paths of an
+    application lie in one folder, which goes when its JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/spendlake-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    scratch = getattr(context, "_spendlake_scratch", None)
+    if scratch is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            root = tempfile.gettempdir()
+        scratch = f"{root.rstrip('/')}/spendlake-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(scratch)
+        file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        file_system.mkdirs(path)
+        file_system.deleteOnExit(path)
+        context._spendlake_scratch = scratch
+    return f"{scratch}/{uuid.uuid4().hex}"
