@@ -35,13 +35,11 @@ def stored(rows: DataFrame) -> DataFrame:
     """The rows, written to the shared scratch folder and read again.
 
     Cuts the lineage: a lost executor costs no more than the files it was reading, and what
-    several later steps use is computed once.  The folder goes when the session's JVM ends.
+    several later steps use is computed once.
     """
     spark = rows.sparkSession
     folder = shared_folder(spark)
     rows.write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
