@@ -54,7 +54,7 @@ class WordHashes(dict):
     """64-bit hashes of words; remembers a bounded number of them."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 250_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value

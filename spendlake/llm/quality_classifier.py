@@ -59,7 +59,7 @@ def _share_term(name: bytes, part: int, whole: int) -> int:
 class Terms:
     """Terms of words, remembered: a number per word and a table with its hashed terms."""
 
-    MOST = 400_000
+    MOST = 250_000
 
     def __init__(self) -> None:
         self.numbers: dict[bytes, int] = {}
