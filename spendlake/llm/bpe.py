@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 from bisect import bisect_right
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,9 @@ REMEMBERED = 150_000
 #: Byte transitions of the automaton that a worker remembers.
 REMEMBERED_STEPS = 250_000
 
+#: Texts a worker holds the tokens of at once.
+BATCH = 512
+
 #: Fixed by the tokenizer: how words are split before merging.
 SPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -168,15 +172,17 @@ class Automaton:
 class Codec:
     """Encodes and decodes texts with the tokenizer in a file of the ``tokenizers`` library."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, merges: bool = True) -> None:
+        """``merges=False`` leaves out the automaton: for workers that only decode."""
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
         byte = {c: b for b, c in enumerate(byte_characters())}
         raw = lambda token: bytes(byte[c] for c in token)
         model = settings["model"]
         vocabulary = {raw(text): token for text, token in model["vocab"].items()}
+        self.vocabulary = vocabulary
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.automaton = Automaton(vocabulary, [(raw(a), raw(b)) for a, b in pairs])
+        self.merges = [(raw(a), raw(b)) for a, b in pairs] if merges else []
         self.special = {t["content"]: t["id"] for t in settings["added_tokens"]}
         self.labels = {token: text for text, token in vocabulary.items()}
         self.labels |= {token: text.encode() for text, token in self.special.items()}
@@ -184,6 +190,10 @@ class Codec:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    @cached_property
+    def automaton(self) -> Automaton:
+        return Automaton(self.vocabulary, self.merges)
+
     def piece(self, piece: str) -> bytes:
         """Ids of a run of whole pre-split words, as little-endian 32-bit integers."""
         ids = self.old.get(piece)
@@ -228,14 +238,14 @@ class Codec:
         return b"".join([labels[i] for i in ids.tolist()]).decode("utf-8", "replace")
 
 
-_codecs: dict[str, Codec] = {}
+_codecs: dict[tuple[str, bool], Codec] = {}
 
 
-def codec(path: str) -> Codec:
-    """The codec of a file, compiled once in each Python worker."""
-    if path not in _codecs:
-        _codecs[path] = Codec(path)
-    return _codecs[path]
+def codec(path: str, merges: bool = True) -> Codec:
+    """The codec of a file, made once in each Python worker."""
+    if (path, merges) not in _codecs:
+        _codecs[path, merges] = Codec(path, merges)
+    return _codecs[path, merges]
 
 
 def default_path() -> str:
@@ -261,7 +271,7 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
             [*batch.columns, tokens], names=[*batch.schema.names, "ids"]
         )
 
-    return map_arrow(rows, run, with_fields(rows, "ids array<int>"))
+    return map_arrow(rows, run, with_fields(rows, "ids array<int>"), BATCH)
 
 
 def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
@@ -274,7 +284,7 @@ def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
     rows = tokens.drop("n_tokens", "ids_sha256", "decoded", "decoded_sha256")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        coder = codec(path)
+        coder = codec(path, merges=False)
         lengths = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         flat = batch.column("ids").flatten().to_numpy(zero_copy_only=False).astype("<u4")
         ids = np.split(flat, np.cumsum(lengths)[:-1])
@@ -291,4 +301,4 @@ def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
         )
 
     added = "n_tokens long, ids_sha256 string, decoded string, decoded_sha256 string"
-    return map_arrow(rows, run, with_fields(rows, added))
+    return map_arrow(rows, run, with_fields(rows, added), BATCH)

@@ -91,14 +91,18 @@ def map_arrow(
     rows: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch],
     schema: str | StructType,
+    most_rows: int | None = None,
 ) -> DataFrame:
-    """``mapInArrow`` with a function of one batch, never an empty one."""
+    """``mapInArrow`` with a function of one batch, never an empty one.
+
+    Batches of more than ``most_rows`` rows are handed over in slices.
+    """
     ship(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
+            for start in range(0, batch.num_rows, most_rows or max(batch.num_rows, 1)):
+                yield function(batch.slice(start, most_rows))
 
     return rows.mapInArrow(run, schema)
 
