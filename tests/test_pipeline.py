@@ -76,29 +76,6 @@ def test_incremental_equals_full_rebuild(spark, settings, tmp_path):
     assert date(2024, 2, 2) not in refreshed.warehouse.partition_dates("stg_cloud_usage_credits")
 
 
-def test_a_segment_that_changes_between_runs_splits_the_open_months(spark, settings):
-    """Old partitions of the fact keep the old segment, so a month holds a row for each."""
-    first = make_lines(date(2024, 1, 25), 12)  # up to 5 February
-    Pipeline(spark, landed(spark, first), settings).build()
-    second = landed(spark, first + make_lines(date(2024, 2, 6), 1))
-    second["customers"] = second["customers"].withColumn("segment", F.lit("Enterprise"))
-    drifted = Pipeline(spark, second, replace(settings, incremental=True))
-    drifted.build()
-    by_day = drifted.table("fct_cloud_usage_daily").select("usage_date", "customer_segment").distinct()
-    segments = {}
-    for row in by_day.collect():
-        segments.setdefault(row.customer_segment, set()).add(row.usage_date)
-    (old,) = set(segments) - {"Enterprise"}
-    window = date(2024, 2, 2)  # three days before the newest day stored
-    assert min(segments["Enterprise"]) == window and max(segments[old]) < window
-    monthly = drifted.table("agg_customer_monthly_spend").where("usage_month = '2024-02-01'")
-    assert {r.customer_segment for r in monthly.collect()} == {old, "Enterprise"}
-    assert len({r.customer_month_key for r in monthly.collect()}) == 1
-    Pipeline(spark, second, replace(settings, incremental=True, full_refresh=True)).build()
-    whole = drifted.table("agg_customer_monthly_spend").where("usage_month = '2024-02-01'").collect()
-    assert [r.customer_segment for r in whole] == ["Enterprise"]
-
-
 def test_late_lines_outside_the_window_are_ignored(spark, settings):
     first = make_lines(date(2024, 1, 1), 10)
     pipeline = Pipeline(spark, landed(spark, first), replace(settings, incremental=True))
