@@ -254,6 +254,16 @@ def test_language_model_sums_to_one(documents):
         assert np.allclose(np.exp(inner).sum(axis=1), 1, atol=1e-4)
 
 
+def test_language_model_keeps_its_size(documents, monkeypatch):
+    rounds, gradients = [], lm_score._gradients
+    monkeypatch.setattr(lm_score, "_gradients", lambda *a: rounds.append(1) or gradients(*a))
+    model, _ = lm_score.train(documents)
+    assert len(rounds) == 10
+    contexts = np.arange(lm_score._HISTORY**2)
+    for softmax, most in ((model.classes, 32), (model.inner, 200)):
+        assert np.bincount(lm_score._pair_row(contexts, softmax.pair_rows)).max() <= most
+
+
 def test_bpe_equals_the_library(documents):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(bpe.default_path())
