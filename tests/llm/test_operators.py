@@ -408,6 +408,31 @@ def test_classifier(spark, documents):
     assert {r["score"] for r in quality_classifier.quality_scores(made, none).collect()} == {1.0}
 
 
+def test_classifier_knows_words(spark):
+    """Good and bad words have the same lengths, endings and punctuation."""
+    ends, rng = ("ned", "ted", "ing", "ers", "est"), np.random.default_rng(5)
+    kinds = [[a + b for a in starts for b in ends] for starts in (("spa", "che", "vig"), ("gra", "ste", "plo"))]
+    made = [(i, " ".join(rng.choice(kinds[i % 3 > 0], 60)), int(i % 3 > 0)) for i in range(1, 301)]
+    frame = spark.createDataFrame(made, "doc_id long, text string, quality int")
+    model = quality_classifier.fit(frame.select("doc_id", "text"), frame.select("doc_id", "quality"))
+    scored = quality_classifier.quality_scores(frame, model).collect()
+    held = [r for r in scored if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert len(held) > 30 and all(r["predicted"] == r["quality"] for r in held)
+
+
+def test_classifier_knows_pairs():
+    """The same words in all texts, paired otherwise."""
+    rng = np.random.default_rng(7)
+    pairs = [b"%c%c%c" % (97 + i, 97 + i, 97 + i) for i in range(20)]
+    good = [b"%s %s" % p for p in zip(pairs[::2], pairs[1::2])]
+    bad = [b"%s %s" % p for p in zip(pairs[1::2], [*pairs[2::2], pairs[0]])]
+    made = [(b" ".join(rng.permutation(kind * 6).tolist()), label) for kind, label in ((good, 1), (bad, 0)) * 60]
+    texts, labels = [t for t, _ in made], np.array([q for _, q in made])
+    model = quality_classifier.Neighbours(texts[:80], labels[:80])
+    found = model.scores(texts[80:], quality_classifier.Terms()) >= quality_classifier.THRESHOLD
+    assert (found == labels[80:]).all()
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     results = [
