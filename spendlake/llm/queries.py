@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spendlake.llm import (
     bpe,
     exact_dedup,
+    filter_audit,
     lm_score,
     mixing,
     near_dedup,
@@ -196,3 +197,56 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.quality_scores(documents, model).select(
         "doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
     )
+
+
+@query(
+    "op11_filter_audit",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+               list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    ), marks AS (
+        SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+        FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+    ), judged AS (
+        SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+               CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+               || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+               || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text)
+                       THEN 'C' ELSE '' END
+               || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+               || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+        FROM docs LEFT JOIN marks USING (doc_id)
+    ), counts AS (
+        SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+        FROM judged GROUP BY part, fails
+    ), letters AS (
+        SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+    ), orders AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE b.x <> a.x AND c.x NOT IN (a.x, b.x) AND d.x NOT IN (a.x, b.x, c.x)
+              AND e.x NOT IN (a.x, b.x, c.x, d.x)
+    ), steps AS (
+        SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+        FROM orders, (SELECT unnest(range(1, 6))::INTEGER AS step)
+    ), told AS (
+        SELECT c.*, s.*, contains(fails, f) AS failing,
+               length(translate(fails, before, '')) < length(fails) AS gone
+        FROM counts c, steps s
+    ), found AS (
+        SELECT part, filter_order, step, f,
+               coalesce(sum(n) FILTER (NOT gone AND NOT failing), 0)::BIGINT AS kept,
+               coalesce(sum(n) FILTER (NOT gone AND failing), 0)::BIGINT AS removed,
+               coalesce(sum(n) FILTER (gone AND failing), 0)::BIGINT AS redundant,
+               coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+               coalesce(sum(good) FILTER (NOT gone AND failing), 0)::BIGINT AS good_lost,
+               coalesce(sum(toxic) FILTER (NOT gone AND failing), 0)::BIGINT AS toxic_lost
+        FROM told GROUP BY ALL
+    )
+    SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM found
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.filter_audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
