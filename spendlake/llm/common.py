@@ -87,20 +87,54 @@ def with_fields(rows: DataFrame, fields: str) -> StructType:
     return StructType([*rows.schema.fields, *StructType.fromDDL(fields).fields])
 
 
+def sliced_by_bytes(column: str, most: int) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+    """Slices of a batch whose texts have at most so many bytes, or that are one row."""
+
+    def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        sizes = batch.column(column).cast(pa.large_binary())
+        ends = np.cumsum([len(v) for v in (x.as_buffer() or b"" for x in sizes)])
+        start, before = 0, 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, end - start)
+            start, before = end, ends[end - 1]
+
+    return slices
+
+
+def commonest(counts: DataFrame, key: str, most: int) -> pa.Table:
+    """The ``most`` rows of the highest counts ``n``, ties by key.
+
+    A histogram of at most some hundred classes of counts first shows which rows can be among
+    them, so the driver never sees many more.
+    """
+    size = F.floor(F.log2("n") * 8)
+    left, least = most, 0
+    for row in sorted(counts.groupBy(size.alias("size")).count().collect(), reverse=True):
+        left, least = left - row["count"], row["size"]
+        if left <= 0:
+            break
+    return counts.where(size >= least).orderBy(F.desc("n"), key).limit(most).toArrow()
+
+
 def map_arrow(
     rows: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch],
     schema: str | StructType,
     most_rows: int | None = None,
+    slices: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]] | None = None,
 ) -> DataFrame:
     """``mapInArrow`` with a function of one batch, never an empty one.
 
-    Batches of more than ``most_rows`` rows are handed over in slices.
+    Batches of more than ``most_rows`` rows are handed over in slices, or cut by ``slices``.
     """
     ship(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if slices is not None:
+                yield from map(function, slices(batch))
+                continue
             for start in range(0, batch.num_rows, most_rows or max(batch.num_rows, 1)):
                 yield function(batch.slice(start, most_rows))
 

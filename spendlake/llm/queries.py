@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.llm import (
+    alignment,
     bpe,
     exact_dedup,
     filter_audit,
@@ -250,3 +251,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.filter_audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.linked(read(spark, folder, "documents"))

@@ -19,6 +19,7 @@ COLUMNS = {
     "op9_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op10_quality_classifier": "doc_id held_out score predicted",
     "op11_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+    "op12_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
