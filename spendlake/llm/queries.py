@@ -15,6 +15,7 @@ from spendlake.llm import (
     lm_score,
     mixing,
     near_dedup,
+    pii,
     quality_classifier,
     quality_rules,
     sharding,
@@ -256,3 +257,9 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_token_alignment")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.linked(read(spark, folder, "documents"))
+
+
+@query("op13_personal_data")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    return pii.found(documents, pii.fit(documents))

@@ -20,6 +20,7 @@ COLUMNS = {
     "op10_quality_classifier": "doc_id held_out score predicted",
     "op11_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
     "op12_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op13_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
 }
 
 
