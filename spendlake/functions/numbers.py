@@ -28,26 +28,35 @@ def amount_parts(amount: Column | str) -> list[Column]:
     return parts
 
 
-def joined_amount(parts: list[Column]) -> Column:
-    """The DOUBLE nearest to sums of the parts."""
+def _carried(parts: list[Column]) -> list[Column]:
+    """The same amount with every part below the units between 0 and 2**26."""
     mask = F.lit((1 << _BITS) - 1).cast("long")
+    result, carry = [], F.lit(0).cast("long")
+    for part in parts[:0:-1]:
+        part = part + carry
+        result.insert(0, part.bitwiseAND(mask))
+        carry = F.shiftright(part, _BITS)
+    return [parts[0] + carry, *result]
+
 
-    def carried(parts: list[Column]) -> list[Column]:
-        """The same amount with every part below the units between 0 and 2**26."""
-        result, carry = [], F.lit(0).cast("long")
-        for part in parts[:0:-1]:
-            part = part + carry
-            result.insert(0, part.bitwiseAND(mask))
-            carry = F.shiftright(part, _BITS)
-        return [parts[0] + carry, *result]
-
-    def value(parts: list[Column]) -> Column:
-        whole, high, middle, low = carried(parts)
-        fraction = (high * F.lit(1 << _BITS) + middle).cast("double") * F.lit(2.0**-52)
-        return whole.cast("double") + (fraction + low.cast("double") * F.lit(2.0**-78))
-
-    below_zero = carried(parts)[0] < 0
-    return F.when(below_zero, -value([-part for part in parts])).otherwise(value(parts))
+def joined_amount(parts: list[Column]) -> Column:
+    """The DOUBLE nearest to sums of the parts, ties to even.
+
+    The magnitude is cut into two numbers of at most 53 bits, so that only their addition rounds;
+    bits that lie far below the last one of the result are folded into one, which is enough to
+    tell a tie.
+    """
+    sign = F.when(_carried(parts)[0] < 0, -1).otherwise(1).cast("long")
+    whole, high, middle, low = _carried([part * sign for part in parts])
+    step = F.lit(1 << _BITS).cast("long")
+    double = lambda value, bits: value.cast("double") * F.lit(2.0**-bits)
+    small = double(whole * step + high, 26) + double(middle * step + low, 78)
+    rest = (high * step + middle).bitwiseOR((low != 0).cast("long"))
+    large = double(whole, 0) + double(rest, 52)
+    tail = whole.bitwiseAND(F.lit(2047).cast("long"))
+    huge = double(whole - tail, 0) + (double(tail, 0) + F.when(rest != 0, 0.5).otherwise(0.0))
+    value = F.when(whole < 1 << 27, small).when(whole < 1 << 53, large).otherwise(huge)
+    return value * sign.cast("double")
 
 
 def exact_sum(amount: Column | str, over: WindowSpec | None = None) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.functions import exact_mean, exact_sum, ratio
+from spendlake.functions import amount_parts, exact_sum, joined_amount, ratio
 
 
 def add_trend(
@@ -26,15 +26,24 @@ def add_trend(
 ) -> DataFrame:
     """Trailing mean over the last ``rows`` rows (not days) and the previous row's amount.
 
-    Both windows share one exchange and one sort.
+    The mean's sum is the difference of two running sums, exact as both are integers: a row costs
+    one addition a part, however many rows the mean spans.  All windows share one exchange and sort.
     """
     ordered = Window.partitionBy(*keys).orderBy(day)
-    return daily.withColumns(
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    names = [f"_part_{n}" for n in range(4)]
+    split = daily.withColumns(dict(zip(names, amount_parts(amount), strict=True)))
+    running = split.withColumns(
         {
-            average: exact_mean(amount, ordered.rowsBetween(1 - rows, Window.currentRow)),
+            **{name: F.coalesce(F.sum(name).over(so_far), F.lit(0).cast("long")) for name in names},
+            "_count": F.count(amount).over(so_far),
             previous: F.lag(amount).over(ordered),
         }
     )
+    last = {name: F.col(name) - F.lag(name, rows, 0).over(ordered) for name in [*names, "_count"]}
+    mean = joined_amount([F.col(name) for name in names]) / F.nullif(F.col("_count"), F.lit(0)).cast("double")
+    others = [column for column in daily.columns if column != average]
+    return running.withColumns(last).select(*others, mean.alias(average), previous)
 
 
 def change_columns(amount: str, previous: str, average: str) -> dict[str, Column]:

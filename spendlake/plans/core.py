@@ -11,6 +11,7 @@ from spendlake.functions import (
     ratio,
     text_list,
 )
+from spendlake.operators.grouping import summarise
 from spendlake.operators.joins import add_rollups, keep_known
 from spendlake.settings import Settings
 
@@ -126,11 +127,13 @@ def dim_products(
         F.max("rate_pct").alias("max_rate_pct"),
         F.max("max_monthly_spend_usd").alias("max_addressable_monthly_spend_usd"),
     )
-    adoption = subscriptions.groupBy("product_id").agg(
-        F.count_distinct("customer_id").alias("customer_count"),
-        F.count(F.lit(1)).alias("subscription_count"),
-        F.count_if("is_active").alias("active_subscription_count"),
-        exact_sum(F.when(F.col("is_active"), F.col("mrr_usd"))).alias("active_mrr_usd"),
+    adoption = summarise(
+        subscriptions,
+        ["product_id"],
+        sums={"active_mrr_usd": F.when(F.col("is_active"), F.col("mrr_usd"))},
+        distinct={"customer_count": "customer_id"},
+        others={"active_subscription_count": F.count_if("is_active")},
+        rows="subscription_count",
     )
     joined = add_rollups(
         products.drop("feature_count", "pricing_tier_count"),

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from spendlake.functions import (
     day_count,
-    exact_sum,
     key_of,
     month_of,
     ratio,
     zero_if_null,
 )
+from spendlake.operators.grouping import summarise
 from spendlake.operators.joins import add_attributes, keep_known, live_totals
 from spendlake.operators.windows import (
     add_joined_total,
@@ -35,10 +35,6 @@ SAVING_MEASURES = ["flexsave_savings_usd", "optimisation_savings_usd", "total_sa
 UNALLOCATED = "unallocated"
 
 
-def _sums(names: list[str]) -> list:
-    return [exact_sum(name).alias(name) for name in names]
-
-
 def fct_cloud_usage_daily(
     usage: DataFrame,
     customers: DataFrame,
@@ -111,11 +107,12 @@ def agg_customer_daily_spend(fact: DataFrame) -> DataFrame:
         "usage_date",
         "usage_month",
     ]
-    daily = fact.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("usage_line_count"),
-        F.count_distinct("service_id").alias("service_count"),
-        F.count_distinct("project_id").alias("project_count"),
-        *_sums(COST_MEASURES + SAVING_MEASURES),
+    daily = summarise(
+        fact,
+        keys,
+        sums=COST_MEASURES + SAVING_MEASURES,
+        distinct={"service_count": "service_id", "project_count": "project_id"},
+        rows="usage_line_count",
     )
     average, previous = "effective_cost_7d_avg_usd", "prev_day_effective_cost_usd"
     trend = add_trend(
@@ -162,15 +159,20 @@ def agg_customer_monthly_spend(
     it is taken from the usage dates, the fact's partition column: no data column is read.
     """
     keys = [*CUSTOMER_ATTRIBUTES, "usage_month"]
-    monthly = fact.groupBy(*keys).agg(
-        day_count("usage_date").alias("active_days"),
-        F.count_distinct("billing_account_id").alias("billing_account_count"),
-        F.count_distinct("cloud_provider").alias("cloud_provider_count"),
-        F.count_distinct("service_id").alias("service_count"),
-        *_sums(COST_MEASURES + SAVING_MEASURES),
-        exact_sum(F.when(F.col("is_flexsave_eligible"), F.col("effective_cost_usd"))).alias(
-            "flexsave_eligible_cost_usd"
-        ),
+    eligible = F.when(F.col("is_flexsave_eligible"), F.col("effective_cost_usd"))
+    monthly = summarise(
+        fact,
+        keys,
+        sums={
+            **{name: name for name in COST_MEASURES + SAVING_MEASURES},
+            "flexsave_eligible_cost_usd": eligible,
+        },
+        distinct={
+            "billing_account_count": "billing_account_id",
+            "cloud_provider_count": "cloud_provider",
+            "service_count": "service_id",
+        },
+        others={"active_days": day_count("usage_date")},
     )
     if months is None:
         months = fact.select(month_of("usage_date").alias("usage_month"))
@@ -207,7 +209,7 @@ def agg_service_monthly_spend(fact: DataFrame) -> DataFrame:
     A window group holds the services of one customer month, at most the providers'
     catalogues, so rank and total share one sort.
     """
-    service = fact.groupBy(
+    keys = [
         "customer_id",
         "customer_name",
         "customer_segment",
@@ -216,12 +218,13 @@ def agg_service_monthly_spend(fact: DataFrame) -> DataFrame:
         "service_id",
         "service_name",
         "service_category",
-    ).agg(
-        F.count(F.lit(1)).alias("usage_line_count"),
-        F.count_distinct("sku_id").alias("sku_count"),
-        F.count_distinct("cloud_region").alias("region_count"),
-        exact_sum("usage_quantity").alias("usage_quantity"),
-        *_sums([*COST_MEASURES, "total_savings_usd"]),
+    ]
+    service = summarise(
+        fact,
+        keys,
+        sums=["usage_quantity", *COST_MEASURES, "total_savings_usd"],
+        distinct={"sku_count": "sku_id", "region_count": "cloud_region"},
+        rows="usage_line_count",
     )
     month = ["customer_id", "usage_month"]
     total, rank = "customer_month_effective_cost_usd", "service_cost_rank"
@@ -243,23 +246,21 @@ def allocated_spend(fact: DataFrame) -> DataFrame:
 
     Reports that need no share of the month start here and spare the total.
     """
-    buckets = {
-        name: F.coalesce(F.col(name), F.lit(UNALLOCATED))
-        for name in ("environment", "team", "cost_centre", "application")
-    }
-    return fact.groupBy(
-        "customer_id",
-        "customer_name",
-        "customer_segment",
-        "usage_month",
-        "cloud_provider",
-        *[bucket.alias(name) for name, bucket in buckets.items()],
-    ).agg(
-        F.count(F.lit(1)).alias("usage_line_count"),
-        *_sums(["net_cost_usd", "credit_amount_usd", "effective_cost_usd", "total_savings_usd"]),
-        exact_sum(F.when(fact["cost_centre"].isNull(), fact["effective_cost_usd"])).alias(
-            "unallocated_cost_usd"
-        ),
+    labels = ("environment", "team", "cost_centre", "application")
+    unlabelled = F.when(F.col("cost_centre").isNull(), F.col("effective_cost_usd"))
+    lines = fact.withColumns(
+        {
+            "_unallocated": unlabelled,
+            **{name: F.coalesce(F.col(name), F.lit(UNALLOCATED)) for name in labels},
+        }
+    )
+    keys = ["customer_id", "customer_name", "customer_segment", "usage_month", "cloud_provider", *labels]
+    measures = ["net_cost_usd", "credit_amount_usd", "effective_cost_usd", "total_savings_usd"]
+    return summarise(
+        lines,
+        keys,
+        sums={**{name: name for name in measures}, "unallocated_cost_usd": "_unallocated"},
+        rows="usage_line_count",
     )
 
 

@@ -1,5 +1,7 @@
 import math
+import random
 from datetime import date, timedelta
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -138,3 +140,54 @@ def test_days_of_a_month(spark):
     assert (row.days, row.kinds) == (3, 3)
     empty = df.where(F.lit(False)).agg(fn.day_count("d").alias("days"), F.count_distinct("p").alias("kinds"))
     assert tuple(empty.first()) == (0, 0)
+
+
+def nearest(amounts):
+    return float(sum((Fraction(x) for x in amounts), Fraction(0)))
+
+
+@pytest.mark.parametrize(
+    "amounts",
+    [
+        [1.5, 2.0**-53, 2.0**-78],
+        [1.5, 2.0**-53],
+        [-1.5, -(2.0**-53), -(2.0**-78)],
+        [-1.5, -(2.0**-53), 2.0**-78],
+        [2.0**27, 2.0**-26, 2.0**-78],
+        [2.0**27 + 2.0**-25, 2.0**-26],
+        [2.0**53, 1.0],
+        [2.0**53, 1.0, 2.0**-78],
+        [2.0**53 + 2, 1.0, -(2.0**-60)],
+        [2.0**62, 512.0, 2.0**-78],
+        [2.0**62, 512.0],
+        [2.0**-78, -(2.0**40)],
+        [0.1] * 10,
+        [1e15, 0.125, -1e15, 2.0**-70],
+        [-0.0, 0.0],
+    ],
+)
+def test_exact_sum_rounds_once(spark, amounts):
+    df = spark.createDataFrame([(x,) for x in amounts], "x double").repartition(2)
+    assert df.agg(fn.exact_sum("x").alias("v")).first().v == nearest(amounts)
+
+
+def test_random_sums_are_the_nearest_doubles(spark):
+    """Groups of amounts of very different sizes and signs, among them halves of last bits."""
+    rng = random.Random(7)
+    groups = []
+    for _ in range(3000):
+        exponents = rng.choice([(-25, 40), (-25, 0), (20, 60), (-24, 61)])
+        low, high = exponents
+        amounts = [
+            rng.choice([-1, 1]) * math.ldexp(rng.getrandbits(53) | 1 << 52, rng.randint(low, high) - 53)
+            for _ in range(rng.randint(1, 6))
+        ]
+        top = max(amounts, key=abs)
+        half = math.ulp(top) / 2
+        if rng.random() < 0.5 and half >= 2.0**-78:
+            amounts += [half, rng.choice([0.0, 2.0**-78, -(2.0**-78)])]
+        groups.append(amounts)
+    rows = [(g, x) for g, amounts in enumerate(groups) for x in amounts]
+    df = spark.createDataFrame(rows, "g int, x double").repartition(3)
+    got = {r.g: r.v for r in df.groupBy("g").agg(fn.exact_sum("x").alias("v")).collect()}
+    assert got == {g: nearest(amounts) for g, amounts in enumerate(groups)}

@@ -3,12 +3,14 @@
 import random
 import re
 from datetime import date, timedelta
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from spendlake.functions import exact_sum
 from spendlake.operators import joins, quality, windows
+from spendlake.operators.grouping import summarise
 
 
 def last_day(month):
@@ -150,3 +152,93 @@ def test_orphans_are_counted_by_key(spark, skewed):
     parent = spark.createDataFrame([("hot",)], "key string")
     orphans = quality.orphan_values(skewed, "k", parent, "key")
     assert orphans.agg(F.sum("row_count")).first()[0] == 3000
+
+
+def odd_lines(rng):
+    """Nulls in keys, values and amounts, one key with a third of all rows, repeated values."""
+    return [
+        (
+            rng.choice(["hot", None, "a", "b"]) if i % 3 else "hot",
+            rng.choice([1, None, 2]),
+            rng.choice([None, "x", "y", "z", ""]),
+            rng.choice([None, 0.0, -0.0, 1.5, float("nan")]),
+            rng.choice([None, 0.1, 1e-9, -7.25]),
+            rng.random() < 0.5,
+        )
+        for i in range(3000)
+    ]
+
+
+@pytest.mark.parametrize("keys", [["k", "n"], ["k"], []])
+def test_summarise_equals_plain_aggregates(spark, keys):
+    lines = spark.createDataFrame(
+        odd_lines(random.Random(3)), "k string, n int, s string, d double, x double, flag boolean"
+    ).repartition(5)
+    negative = F.when(F.col("x") < 0, F.col("x"))
+    got = summarise(
+        lines,
+        keys,
+        sums={"total": "x", "negative": negative},
+        distinct={"texts": "s", "numbers": "n", "doubles": "d"},
+        others={"least": F.min("x"), "flags": F.count_if("flag")},
+        rows="lines",
+    )
+    expected = lines.groupBy(*keys).agg(
+        F.count("*").alias("lines"),
+        F.min("x").alias("least"),
+        F.count_if("flag").alias("flags"),
+        F.count_distinct("s").alias("texts"),
+        F.count_distinct("n").alias("numbers"),
+        F.count_distinct("d").alias("doubles"),
+        exact_sum("x").alias("total"),
+        exact_sum(negative).alias("negative"),
+    )
+    assert got.columns == expected.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    one = summarise(lines, keys, distinct={"texts": "s"})
+    assert sorted(map(str, one.collect())) == sorted(map(str, expected.select(*keys, "texts").collect()))
+    empty = summarise(lines.where(F.lit(False)), keys, sums=["x"], distinct={"texts": "s"}, rows="lines")
+    assert [tuple(r) for r in empty.collect()] == ([] if keys else [(0, 0, None)])
+
+
+def test_summarise_combines_before_each_shuffle(spark):
+    """No sum goes through an Expand, and a hot key leaves each task as one row."""
+    lines = spark.range(200_000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(-1).alias("k"),
+        (F.col("id") % 7).alias("v"),
+        (F.col("id") % 5).alias("w"),
+        (F.col("id") / 8).alias("x"),
+    )
+    got = summarise(lines, ["k"], sums=["x"], distinct={"vs": "v", "ws": "w"})
+    assert {(r["vs"], r["ws"]) for r in got.collect()} == {(7, 5), (7, 1)}
+    plan = got._jdf.queryExecution().executedPlan()
+    assert "Expand" not in plan.toString()
+    written, nodes = [], [plan.executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "Exchange":
+            written.append(node.metrics().apply("shuffleRecordsWritten").value())
+        stage = [node.plan()] if "QueryStage" in node.nodeName() else []
+        children = node.children()
+        nodes += stage + [children.apply(i) for i in range(children.size())]
+    # Keys times values, and keys, from each task; never the 200,000 rows.
+    assert written and max(written) <= 51 * 12 * 8
+
+
+def test_trailing_mean_by_running_sums(spark):
+    rng = random.Random(11)
+    rows = [
+        (rng.choice("ab"), date(2024, 1, 1) + timedelta(days=d), rng.choice([None, 0.1, 1e-9, 5e11, -0.3]))
+        for d in range(60)
+    ]
+    df = spark.createDataFrame(rows, "k string, d date, x double").repartition(3)
+    got = windows.add_trend(df, ["k"], "d", "x", "mean", "before", rows=4)
+    assert got.columns == ["k", "d", "x", "mean", "before"]
+    expected = []
+    for key in "ab":
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: r[1])
+        for i, r in enumerate(own):
+            known = [Fraction(x) for _, _, x in own[max(0, i - 3) : i + 1] if x is not None]
+            mean = float(sum(known, Fraction(0))) / len(known) if known else None
+            expected.append((*r, mean, own[i - 1][2] if i else None))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected))

@@ -20,6 +20,14 @@ def read_schemas(df):
     return re.findall(r"ReadSchema: (struct<.*>)", plan(df))
 
 
+@pytest.fixture(scope="module", autouse=True)
+def whole_schemas(spark):
+    """Plans show the schemas of scans uncut."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     """Raw tables and the fact as Parquet files."""
@@ -73,6 +81,18 @@ def test_no_mart_holds_sets_while_it_groups(stored):
         assert "ObjectHashAggregate" not in plan(model(stored[2]))
 
 
+def test_no_sum_goes_through_an_expand(spark, stored):
+    subscriptions = staging.stg_subscriptions(stored[0], Settings())
+    for model in (
+        finops.agg_customer_daily_spend(stored[2]),
+        finops.agg_service_monthly_spend(stored[2]),
+        finops.agg_customer_monthly_spend(stored[2], subscriptions),
+    ):
+        assert "Expand" not in plan(model)
+        scans = [s for s in read_schemas(model) if "service_id" in s or "sku_id" in s]
+        assert any("_usd" not in s for s in scans), "the thin branch reads no amount"
+
+
 def test_filters_reach_the_scan(stored):
     assert "EqualTo(usage_id,u1)" in plan(stored[1].where("usage_id = 'u1'"))
 

@@ -6,16 +6,10 @@ from __future__ import annotations
 def money(expression: str, over: str = "") -> str:
     """Exact sum of a double amount: its bits down to 2**-78 as a 128-bit integer, then a double.
 
-    Whole units and the fraction are put together as the fraction's 52 high and 26 low bits.
+    The integer is rounded once, by reading its decimal text as a double, and scaled.
     """
-    unit = f"{2**78}::HUGEINT"
     total = f"sum(CAST(CAST({expression} AS DOUBLE) * pow(2, 78) AS HUGEINT)) {over}"
-    fraction = f"abs(s) % {unit}"
-    return (
-        f"list_transform([{total}], lambda s: sign(s) * (CAST(abs(s) // {unit} AS DOUBLE) + "
-        f"(CAST({fraction} // {2**26} AS DOUBLE) * pow(2, -52) + "
-        f"CAST({fraction} % {2**26} AS DOUBLE) * pow(2, -78))))[1]"
-    )
+    return f"CAST(CAST({total} AS VARCHAR) AS DOUBLE) * pow(2, -78)"
 
 
 def ratio(numerator: str, denominator: str) -> str:

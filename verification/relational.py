@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlake.functions import array_total, exact_sum, label_value, month_of, text_list
 from spendlake.operators import joins, windows
+from spendlake.operators.grouping import summarise
 from verification.base_sql import money, ratio, sql
 from verification.catalog import Models, query
 
@@ -358,8 +359,8 @@ def null_to_bucket(spark: SparkSession, folder: str) -> DataFrame:
 )
 def avg_daily(spark: SparkSession, folder: str) -> DataFrame:
     orders = Models(spark, folder).source("orders")
-    totals = orders.groupBy("o_custkey").agg(
-        exact_sum("o_totalprice").alias("amount"), F.count_distinct("o_orderdate").alias("days")
+    totals = summarise(
+        orders, ["o_custkey"], sums={"amount": "o_totalprice"}, distinct={"days": "o_orderdate"}
     )
     average = F.col("amount") / F.nullif(F.col("days"), F.lit(0))
     return totals.select("o_custkey", average.alias("average_per_day"))
