@@ -19,7 +19,8 @@ class Settings:
     the usage models only rebuild the partitions inside the lookback window, unless
     ``full_refresh`` asks for the whole history without dropping the tables.
     ``as_of`` fixes the date tenures are measured against; unset means today.
-    ``landing_database`` is the name the raw models stamp their rows with.
+    ``landing_database`` is the name the raw models stamp their rows with.  ``kept_versions``
+    superseded versions of each table stay on disk, for readers that began before a change.
     """
 
     reporting_currency: str = "USD"
@@ -30,6 +31,7 @@ class Settings:
     database: str = "spendlake"
     landing_database: str = "landing"
     base_path: str | None = None
+    kept_versions: int = 0
 
     def as_of_date(self) -> Column:
         return F.current_date() if self.as_of is None else F.lit(self.as_of)

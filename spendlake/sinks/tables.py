@@ -1,16 +1,24 @@
-"""Partitioned Parquet tables in the session catalog.
-
-Tables are external, below the base path of the database.  Bookkeeping is the catalog's; a small
-file next to each table holds its columns, comments, partition column and description too, so
-they outlive a session whose catalog does not.
+"""Partitioned Parquet tables, published version by version.
+
+A table is a folder below its database.  Every write goes to folders of its own, named by a fresh
+version (``version=..`` below the table or below each partition it touches), and counts only once
+a pointer to it is there: a small numbered file next to the table that names the schema, comments,
+description and the folder of every partition.  Pointers are written under another name and
+renamed, and the highest number holds, so a reader, another session or a driver that was lost
+half-way sees the table before a change or after it, never between.  Folders that no pointer
+names any more are deleted after the change, those of a write that never ended by the next one.
+
+The session catalog is defined from the pointer: a table carries the number it was defined from,
+and is defined again when that is no longer the last, so tables outlive a session whose catalog
+does not.  A table has one writer at a time.
 """
 
 from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+import uuid
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -19,7 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from spendlake.settings import Settings, shared_folder
-from spendlake.sources.landing import delete_folder, path_exists, read_text, write_text
+from spendlake.sinks.schema import SchemaChange, columns_of, compare
+from spendlake.sources.landing import (
+    delete_folder,
+    file_names,
+    matching_paths,
+    read_small,
+    rename,
+    write_text,
+)
 
 log = logging.getLogger(__name__)
 
@@ -37,13 +53,31 @@ class Layout:
 
 
 @dataclass(frozen=True)
-class SchemaChange:
-    added: tuple[str, ...] = ()
-    removed: tuple[str, ...] = ()
+class Pointer:
+    """What a table holds from one change to the next."""
+
+    number: int
+    schema: StructType
+    partition: str | None
+    description: str
+    #: Partition value (``""`` for a table without partitions) -> folder below the table.
+    folders: Mapping[str, str]
+    #: Fields that were dropped from the table while files still hold them.
+    dropped: tuple[str, ...] = ()
+
+    def text(self) -> str:
+        content = vars(self) | {"schema": self.schema.jsonValue()}
+        return json.dumps(content)
 
+    @staticmethod
+    def of(text: str) -> Pointer:
+        content = json.loads(text)
+        content["schema"] = StructType.fromJson(content["schema"])
+        return Pointer(**content | {"dropped": tuple(content["dropped"])})
 
-def arrange(df: DataFrame, layout: Layout) -> DataFrame:
-    """Order rows for the files to be written.
+
+def arrange(df: DataFrame, layout: Layout, folders: Iterable[str] = ()) -> DataFrame:
+    """Order rows for the files to be written, in partitions and further ``folders`` below them.
 
     The rebalance puts a partition's rows together, but cuts one that is larger than the
     advisory size into several tasks and merges small ones, so neither a hot day nor many thin
@@ -51,7 +85,7 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     """
     if layout.partition_by:
         df = df.hint("rebalance", layout.partition_by)
-        return df.sortWithinPartitions(layout.partition_by, *layout.cluster_by)
+        return df.sortWithinPartitions(layout.partition_by, *folders, *layout.cluster_by)
     if layout.cluster_by:
         return df.hint("rebalance").sortWithinPartitions(*layout.cluster_by)
     return df
@@ -74,6 +108,7 @@ class Warehouse:
         self.spark = spark
         self.database = settings.database
         self.base_path = (settings.base_path or shared_folder(spark)).rstrip("/")
+        self.kept_versions = settings.kept_versions
         spark.sql(
             f"CREATE DATABASE IF NOT EXISTS `{self.database}` "
             f"LOCATION {_quoted(f'{self.base_path}/{self.database}')}"
@@ -86,17 +121,11 @@ class Warehouse:
         return f"{self.base_path}/{self.database}/{name}"
 
     def exists(self, name: str) -> bool:
-        """Whether the table is known, after looking for one of an earlier session.
-
-        Without a metastore the catalog starts empty; the file next to the table defines it.
-        """
-        if self.spark.catalog.tableExists(f"{self.database}.{name}"):
-            return True
-        if not path_exists(self.spark, self._notes(name)):
+        """Whether the table is known, after looking for one of an earlier session."""
+        pointer = self._pointer(name)
+        if pointer is None:
             return False
-        notes = json.loads(read_text(self.spark, self._notes(name)))
-        schema = StructType.fromJson(notes["schema"])
-        self._define(name, schema, notes["partition"], notes["description"])
+        self._define(name, pointer)
         return True
 
     def read(self, name: str) -> DataFrame:
@@ -107,16 +136,16 @@ class Warehouse:
     def replace(self, name: str, df: DataFrame, layout: Layout = Layout()) -> None:
         """Create the table, or replace it whole."""
         described = self._with_comments(df, layout)
-        writer = arrange(described, layout).write.format("parquet").mode("overwrite")
-        if layout.partition_by:
-            writer = writer.partitionBy(layout.partition_by)
-        with self._overwrite_mode("static"):
-            writer.option("path", self.location(name)).saveAsTable(self.full_name(name))
-        if layout.description:
-            self.spark.sql(
-                f"COMMENT ON TABLE {self.full_name(name)} IS {_quoted(layout.description)}"
-            )
-        self._note(name)
+        before = self._pointer(name)
+        self._clear_unfinished(name)
+        folders = self._written(name, described, layout)
+        fields = [f for f in described.schema.fields if f.name != layout.partition_by]
+        fields += [f for f in described.schema.fields if f.name == layout.partition_by]
+        schema = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in fields])
+        number = before.number + 1 if before else 1
+        self._publish(
+            name, Pointer(number, schema, layout.partition_by, layout.description, folders)
+        )
 
     def overwrite_partitions(
         self,
@@ -129,61 +158,48 @@ class Warehouse:
         """Replace exactly the partitions present in ``df``; returns them.
 
         With ``drop_vanished``, partitions on or after ``low`` that the batch no longer
-        has a row for are emptied too; older ones are never touched.
+        has a row for are emptied too; older ones are never touched.  All of it, a change of the
+        schema included, is published at once.
         """
-        column = layout.partition_by
-        self.sync_schema(name, self._with_comments(df, layout))
-        seen = Observation(f"partitions of {name}")
-        batch = df.select(*self.read(name).columns).observe(
-            seen, F.collect_set(column).alias("present")
-        )
-        with self._overwrite_mode("dynamic"):
-            arrange(batch, layout).write.mode("overwrite").insertInto(self.full_name(name))
-        present = sorted(seen.get["present"])
+        described = self._with_comments(df, layout)
+        self._clear_unfinished(name)
+        pointer, change = self._with_schema(name, described.schema)
+        batch = described.select(*columns_of(described.schema, change.schema))
+        folders = self._written(name, batch, layout)
+        kept = dict(pointer.folders)
         if drop_vanished:
-            kept = set(present)
-            days = [d for d in self.partition_dates(name) if (low is None or d >= low) and d not in kept]
-            self._drop_partitions(name, column, days)
-        return present
+            bound = low.isoformat() if low else ""
+            gone = [d for d in kept if d != NULL_PARTITION and d >= bound and d not in folders]
+            for day in gone:
+                del kept[day]
+        passing = set(pointer.folders.values()) - set(self._pointer(name).folders.values())
+        self._publish(name, self._next(pointer, folders={**kept, **folders}), passing)
+        return sorted(date.fromisoformat(d) for d in folders if d != NULL_PARTITION)
 
     def partition_dates(self, name: str) -> list[date]:
-        """Dates the table has a partition for, from the catalog alone."""
-        value = F.substring_index("partition", "=", -1)
-        rows = (
-            self.spark.sql(f"SHOW PARTITIONS {self.full_name(name)}")
-            .where(value != NULL_PARTITION)
-            .select(value.cast("date").alias("day"))
-            .collect()
-        )
-        return sorted(row.day for row in rows)
+        """Dates the table has a partition for, from its pointer alone."""
+        if not self.exists(name):
+            raise ValueError(f"{self.database}.{name} has not been built")
+        days = self._pointer(name).folders
+        return sorted(date.fromisoformat(d) for d in days if d not in ("", NULL_PARTITION))
 
     def high_water_mark(self, name: str) -> date | None:
         """Latest partition date; no data file is read."""
         return max(self.partition_dates(name), default=None)
 
     def sync_schema(self, name: str, df: DataFrame) -> SchemaChange:
-        """Give the table the columns of ``df``: old rows read NULL in new columns, and
-        columns ``df`` lacks are dropped from the table.  A changed type is an error."""
-        current = {f.name: f for f in self.read(name).schema}
-        wanted = {f.name: f for f in df.schema}
-        changed = [
-            n
-            for n in wanted.keys() & current.keys()
-            if wanted[n].dataType.simpleString() != current[n].dataType.simpleString()
-        ]
-        if changed:
-            raise ValueError(f"{name}: type of {sorted(changed)} changed, rebuild the table")
-        added = tuple(n for n in wanted if n not in current)
-        removed = tuple(n for n in current if n not in wanted)
-        if removed:
-            self._redefine(name, StructType([f for n, f in current.items() if n in wanted]))
-        if added:
-            columns = ", ".join(_column_ddl(wanted[n]) for n in added)
-            self.spark.sql(f"ALTER TABLE {self.full_name(name)} ADD COLUMNS ({columns})")
-        if added or removed:
-            self._note(name)
-            log.info("%s: columns added %s, removed %s", name, added, removed)
-        return SchemaChange(added, removed)
+        """Give the table the columns of ``df``, and the wider type of both, at any depth.
+
+        Old rows read NULL in new fields, fields ``df`` lacks are dropped.  Old files are read with
+        a wider type; only where they cannot be, or where a dropped field comes back under its old
+        name, are the partitions written anew.  Types that do not fit are an error.
+        """
+        before = self._pointer(name)
+        self._clear_unfinished(name)
+        pointer, change = self._with_schema(name, df.schema)
+        if pointer != before:
+            self._publish(name, self._next(pointer))
+        return change
 
     def describe_columns(self, name: str) -> dict[str, str]:
         """Column comments stored with the table."""
@@ -194,58 +210,159 @@ class Warehouse:
             df = df.withMetadata(column, {"comment": text})
         return df
 
-    def _partition_column(self, name: str) -> str | None:
-        columns = self.spark.catalog.listColumns(f"{self.database}.{name}")
-        return next((c.name for c in columns if c.isPartition), None)
-
-    def _notes(self, name: str) -> str:
-        return f"{self.location(name)}.table.json"
-
-    def _note(self, name: str) -> None:
-        """Write down what the catalog knows of the table, after the change it describes."""
-        table = self.spark.catalog.getTable(f"{self.database}.{name}")
-        notes = {
-            "schema": self.spark.table(self.full_name(name)).schema.jsonValue(),
-            "partition": self._partition_column(name),
-            "description": table.description,
-        }
-        write_text(self.spark, self._notes(name), json.dumps(notes))
-
-    def _redefine(self, name: str, schema: StructType) -> None:
-        """Define the external table again over the same files; no data moves."""
-        partition = self._partition_column(name)
-        description = self.spark.catalog.getTable(f"{self.database}.{name}").description
-        self.spark.sql(f"DROP TABLE {self.full_name(name)}")
-        self._define(name, schema, partition, description)
-
-    def _define(
-        self, name: str, schema: StructType, partition: str | None, description: str | None = None
-    ) -> None:
-        columns = ", ".join(_column_ddl(f) for f in schema)
-        clauses = f"USING parquet LOCATION {_quoted(self.location(name))}"
-        if partition:
-            clauses += f" PARTITIONED BY (`{partition}`)"
-        if description:
-            clauses += f" COMMENT {_quoted(description)}"
-        self.spark.sql(f"CREATE TABLE {self.full_name(name)} ({columns}) {clauses}")
-        if partition:
-            self.spark.sql(f"MSCK REPAIR TABLE {self.full_name(name)}")
+    # --- writing and publishing ---
 
-    def _drop_partitions(self, name: str, column: str, days: list[date]) -> None:
-        """Forget the partitions in one statement, then delete their files, without a job."""
-        if not days:
-            return
-        specs = ", ".join(f"PARTITION (`{column}` = DATE{_quoted(d.isoformat())})" for d in days)
-        self.spark.sql(f"ALTER TABLE {self.full_name(name)} DROP IF EXISTS {specs}")
-        for day in days:
-            delete_folder(self.spark, f"{self.location(name)}/{column}={day.isoformat()}")
-
-    @contextmanager
-    def _overwrite_mode(self, mode: str) -> Iterator[None]:
-        option = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(option)
-        self.spark.conf.set(option, mode)
+    def _written(self, name: str, df: DataFrame, layout: Layout) -> dict[str, str]:
+        """Write rows under a new version; the folder of each partition, below the table."""
+        version, root, column = uuid.uuid4().int >> 66, self.location(name), layout.partition_by
+        write_text(self.spark, f"{self._pointers(name)}/started-{version}", "")
+        if not column:
+            arrange(df, layout).write.parquet(f"{root}/version={version}")
+            return {"": f"version={version}"}
+        seen = Observation(f"partitions of {name}")
+        # No literal: Spark would leave it out of the sort, and then sort once more without clusters.
+        number = F.col(column).isNull().cast("long") * 0 + F.lit(version)
+        observed = df.withColumn("version", number).observe(
+            seen,
+            F.collect_set(column).alias("present"),
+            F.coalesce(F.max(F.col(column).isNull()), F.lit(False)).alias("without"),
+        )
+        rows = arrange(observed, layout, ["version"])
+        rows.write.mode("append").partitionBy(column, "version").parquet(root)
+        days = [str(day) for day in seen.get["present"]]
+        days += [NULL_PARTITION] if seen.get["without"] else []
+        return {day: f"{column}={day}/version={version}" for day in days}
+
+    def _with_schema(self, name: str, wanted: StructType) -> tuple[Pointer, SchemaChange]:
+        """The pointer a table will have with the columns of a batch, not yet published.
+
+        Partitions are written anew here if the files cannot be read with them.
+        """
+        pointer = self._pointer(name)
+        if pointer is None:
+            raise ValueError(f"{self.database}.{name} has not been built")
         try:
-            yield
-        finally:
-            self.spark.conf.set(option, before)
+            change = compare(pointer.schema, wanted)
+        except ValueError as error:
+            raise ValueError(f"{name}: {error}") from None
+        if pointer.partition in (*change.widened, *change.rewritten, *change.removed):
+            raise ValueError(f"{name}: type of {pointer.partition} changed, rebuild the table")
+        if not change:
+            return pointer, change
+        column = pointer.partition
+        last = [f for f in change.schema.fields if f.name == column]
+        change.schema = StructType([f for f in change.schema.fields if f.name != column] + last)
+        folders, dropped = pointer.folders, {*pointer.dropped, *change.removed}
+        if change.rewritten or set(change.added) & set(pointer.dropped):
+            old = self.read(name)
+            rows = old.select(*columns_of(old.schema, change.schema))
+            folders, dropped = self._written(name, rows, Layout(column)), set()
+        log.info("%s: %s", name, change)
+        synced = Pointer(
+            pointer.number, change.schema, column, pointer.description, folders, tuple(sorted(dropped))
+        )
+        return synced, change
+
+    def _next(self, pointer: Pointer, **changes: object) -> Pointer:
+        return Pointer(**vars(pointer) | {"number": pointer.number + 1} | changes)
+
+    def _pointers(self, name: str) -> str:
+        return f"{self.location(name)}.versions"
+
+    def _numbers(self, name: str) -> list[int]:
+        names = file_names(self.spark, self._pointers(name))
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def _pointer(self, name: str, number: int | None = None) -> Pointer | None:
+        """The pointer of that number, by default the last."""
+        if number is None:
+            number = max(self._numbers(name), default=None)
+        if number is None:
+            return None
+        return Pointer.of(read_small(self.spark, f"{self._pointers(name)}/{number:010}.json"))
+
+    def _publish(self, name: str, pointer: Pointer, passing: Iterable[str] = ()) -> None:
+        """Make a change count, follow it in the catalog, then delete what it superseded.
+
+        ``passing`` are folders written on the way that no pointer came to name.
+        """
+        target = f"{self._pointers(name)}/{pointer.number:010}.json"
+        write_text(self.spark, f"{target}.new", pointer.text())
+        rename(self.spark, f"{target}.new", target)
+        self._define(name, pointer)
+        for folder in set(passing) - set(pointer.folders.values()):
+            self._delete_version(name, folder)
+        self._collect(name)
+
+    def _collect(self, name: str) -> None:
+        """Delete folders that only pointers older than the kept ones name, and those pointers."""
+        numbers = self._numbers(name)
+        split = max(0, len(numbers) - 1 - max(0, self.kept_versions))
+        used = {f for n in numbers[split:] for f in self._pointer(name, n).folders.values()}
+        for number in numbers[:split]:
+            for folder in set(self._pointer(name, number).folders.values()) - used:
+                self._delete_version(name, folder)
+            delete_folder(self.spark, f"{self._pointers(name)}/{number:010}.json")
+        for started in self._started(name):
+            if any(folder.endswith(f"version={started}") for folder in used):
+                delete_folder(self.spark, f"{self._pointers(name)}/started-{started}")
+
+    def _delete_version(self, name: str, folder: str) -> None:
+        """Delete a version, and its partition's folder if nothing else is in it."""
+        delete_folder(self.spark, f"{self.location(name)}/{folder}")
+        partition = f"{self.location(name)}/{folder}".rpartition("/version=")[0]
+        if partition != self.location(name) and not file_names(self.spark, partition):
+            delete_folder(self.spark, partition)
+
+    def _started(self, name: str) -> list[str]:
+        names = file_names(self.spark, self._pointers(name))
+        return [n.removeprefix("started-") for n in names if n.startswith("started-")]
+
+    def _clear_unfinished(self, name: str) -> None:
+        """Delete what writes left that never were published."""
+        pointers = [self._pointer(name, n) for n in self._numbers(name)]
+        used = {folder for pointer in pointers for folder in pointer.folders.values()}
+        root = self.location(name)
+        for version in self._started(name):
+            for pattern in (f"{root}/version={version}", f"{root}/*/version={version}"):
+                for path in matching_paths(self.spark, pattern):
+                    folder = path.rpartition(f"/{name}/")[2]
+                    if folder not in used:
+                        self._delete_version(name, folder)
+            delete_folder(self.spark, f"{self._pointers(name)}/started-{version}")
+
+    # --- the session catalog ---
+
+    def _defined(self, name: str) -> int | None:
+        """The number of the pointer that a table of the catalog was defined from."""
+        if not self.spark.catalog.tableExists(f"{self.database}.{name}"):
+            return None
+        properties = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(name)}").collect()
+        return next((int(r.value) for r in properties if r.key == "spendlake.number"), -1)
+
+    def _define(self, name: str, pointer: Pointer) -> None:
+        """Define the external table as the pointer says; no data moves."""
+        if self._defined(name) == pointer.number:
+            return
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(name)}")
+        columns = ", ".join(_column_ddl(f) for f in pointer.schema)
+        folder = f"/{pointer.folders['']}" if "" in pointer.folders else ""
+        clauses = f"USING parquet LOCATION {_quoted(self.location(name) + folder)}"
+        if pointer.partition:
+            clauses += f" PARTITIONED BY (`{pointer.partition}`)"
+        if pointer.description:
+            clauses += f" COMMENT {_quoted(pointer.description)}"
+        clauses += f" TBLPROPERTIES ('spendlake.number' = '{pointer.number}')"
+        self.spark.sql(f"CREATE TABLE {self.full_name(name)} ({columns}) {clauses}")
+        if pointer.partition:
+            self._add_partitions(name, pointer.partition, pointer.folders.items())
+
+    def _add_partitions(self, name: str, column: str, folders: Iterable[tuple[str, str]]) -> None:
+        specs = [
+            f"PARTITION (`{column}` = {'NULL' if day == NULL_PARTITION else f'DATE{_quoted(day)}'}) "
+            f"LOCATION {_quoted(f'{self.location(name)}/{folder}')}"
+            for day, folder in folders
+        ]
+        for start in range(0, len(specs), 500):
+            some = " ".join(specs[start : start + 500])
+            self.spark.sql(f"ALTER TABLE {self.full_name(name)} ADD {some}")

@@ -29,6 +29,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob."""
+    jvm_path, file_system = _file_system(spark, pattern)
+    return [status.getPath().toString() for status in file_system.globStatus(jvm_path) or []]
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder, none if there is no such folder."""
+    jvm_path, file_system = _file_system(spark, folder)
+    if not file_system.exists(jvm_path):
+        return []
+    return [status.getPath().getName() for status in file_system.listStatus(jvm_path)]
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    jvm_path, file_system = _file_system(spark, source)
+    if not file_system.rename(jvm_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     jvm_path, file_system = _file_system(spark, path)
     file_system.delete(jvm_path, True)
@@ -42,9 +62,14 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    """A small file as text."""
-    return spark.read.text(path, wholetext=True).first().value
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small file as text, read in the driver without a job."""
+    jvm_path, file_system = _file_system(spark, path)
+    stream = file_system.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def infer_schema(spark: SparkSession, path: str, multi_line: bool = False) -> StructType:

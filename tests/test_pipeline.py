@@ -3,7 +3,8 @@
 import uuid
 from collections import Counter
 from dataclasses import replace
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -304,3 +305,141 @@ def test_reports_run_on_stored_models(spark, settings):
     }
     with pytest.raises(ValueError, match="usage_id"):
         pipeline.report("usage_line")
+
+
+def test_schema_sync_of_types_and_nested_fields(spark, settings):
+    """Wider types and nested fields that come and go, across old and new partitions and sessions."""
+    warehouse, layout = Warehouse(spark, settings), Layout("usage_date")
+    old = spark.createDataFrame(
+        [
+            (1, 1.5, date(2024, 5, 1), ("USD", 7), [("k", 1)], {"m": ("x", 2)}, date(2024, 1, 1)),
+            (2, None, None, None, None, None, date(2024, 1, 2)),
+        ],
+        "a int, f float, d date, cost struct<currency:string,n:int>, tags array<struct<k:string,n:int>>,"
+        " more map<string,struct<p:string,q:int>>, usage_date date",
+    )
+    warehouse.replace("t", old, layout)
+    new = spark.createDataFrame(
+        [(2**40, 0.1, date(2024, 6, 1), (2**41, "EU"), [(2**42, "k", True)], {"m": (9,)}, date(2024, 1, 2))],
+        "a bigint, f double, d date, cost struct<n:bigint,region:string>,"
+        " tags array<struct<n:bigint,k:string,own:boolean>>, more map<string,struct<q:int>>, usage_date date",
+    )
+    change = warehouse.sync_schema("t", new)
+    assert set(change.added) == {"cost.region", "tags.element.own"}
+    assert set(change.removed) == {"cost.currency", "more.value.p"}
+    assert set(change.widened) == {"a", "f", "cost.n", "tags.element.n"} and not change.rewritten
+    files = set(warehouse.read("t").inputFiles())
+    assert len(files) == 2, "no file was written anew"
+    warehouse.overwrite_partitions("t", new, layout, date(2024, 1, 2))
+    expected = [
+        (1, 1.5, date(2024, 5, 1), (7, None), [("k", 1, None)], {"m": (2,)}, date(2024, 1, 1)),
+        (2**40, 0.1, date(2024, 6, 1), (2**41, "EU"), [("k", 2**42, True)], {"m": (9,)}, date(2024, 1, 2)),
+    ]
+    plain = lambda v: tuple(map(plain, v)) if isinstance(v, (tuple, list)) else (
+        {k: plain(x) for k, x in v.items()} if isinstance(v, dict) else v
+    )
+    spark.sql(f"DROP TABLE {settings.database}.t")  # a new session
+    for found in (warehouse, Warehouse(spark, settings)):
+        rows = found.read("t").orderBy("usage_date").collect()
+        assert plain(rows) == plain(expected)
+        assert dict(found.read("t").dtypes)["a"] == "bigint"
+    narrower = spark.createDataFrame([(5, 0.5, date(2024, 1, 3))], "a int, f float, usage_date date")
+    warehouse.overwrite_partitions("t", narrower, layout, date(2024, 1, 3))
+    assert dict(warehouse.read("t").dtypes) == {"a": "bigint", "f": "double", "usage_date": "date"}
+
+
+def test_fields_that_return_and_types_files_lack_are_rewritten(spark, settings):
+    warehouse, layout = Warehouse(spark, settings), Layout("usage_date", ("a",))
+    rows = [(1, "old", date(2024, 5, 1), date(2024, 1, 1)), (2, "old", None, date(2024, 1, 2))]
+    warehouse.replace("t", spark.createDataFrame(rows, "a int, b string, d date, usage_date date"), layout)
+    without = spark.createDataFrame([(3, date(2024, 6, 1), date(2024, 1, 2))], "a int, d date, usage_date date")
+    warehouse.overwrite_partitions("t", without, layout, date(2024, 1, 2))
+    again = spark.createDataFrame(
+        [(4, "new", datetime(2024, 6, 1, 7), date(2024, 1, 2))], "a int, b string, d timestamp, usage_date date"
+    )
+    warehouse.overwrite_partitions("t", again, layout, date(2024, 1, 2))
+    got = warehouse.read("t").select("a", "b", "d", "usage_date").orderBy("a").collect()
+    assert [tuple(r) for r in got] == [
+        (1, None, datetime(2024, 5, 1), date(2024, 1, 1)),  # the dropped text does not come back
+        (4, "new", datetime(2024, 6, 1, 7), date(2024, 1, 2)),
+    ]
+    assert len(list(Path(warehouse.location("t")).glob("*/version=*"))) == 2, "nothing is left behind"
+    with pytest.raises(ValueError, match="type of"):
+        warehouse.sync_schema("t", spark.createDataFrame([("x",)], "a string"))
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("partition", ["usage_date", None])
+def test_a_lost_driver_leaves_the_table_as_it_was(spark, settings, monkeypatch, partition):
+    """Killed between write and swap; found so by this and a new session; cleared by the next write."""
+    layout = Layout(partition)
+    warehouse = Warehouse(spark, settings)
+    old = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 1, 2))], "a int, usage_date date")
+    new = spark.createDataFrame([(9, "n", date(2024, 1, 2))], "a int, b string, usage_date date")
+    warehouse.replace("t", old, layout)
+
+    def killed(*args, **kwargs):
+        raise Killed
+
+    write = {"replace": lambda w: w.replace("t", new, layout)}
+    if partition:
+        write["overwrite"] = lambda w: w.overwrite_partitions("t", new, layout)
+    for attempt in write.values():
+        with monkeypatch.context() as patch:
+            patch.setattr("spendlake.sinks.tables.rename", killed)
+            with pytest.raises(Killed):
+                attempt(warehouse)
+        assert len(list(Path(warehouse.location("t")).rglob("version=*"))) > (2 if partition else 1)
+        assert content(warehouse.read("t")) == content(old)
+        spark.sql(f"DROP TABLE {settings.database}.t")
+        assert content(Warehouse(spark, settings).read("t")) == content(old)
+    # Killed after the swap, before the catalog followed: the pointer holds.
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_define", killed)
+        with pytest.raises(Killed):
+            warehouse.replace("t", new, layout)
+    assert content(Warehouse(spark, settings).read("t")) == content(new)
+    warehouse.replace("t", old, layout)
+    assert content(warehouse.read("t")) == content(old)
+    assert len(list(Path(warehouse.location("t")).rglob("version=*"))) == (2 if partition else 1)
+    assert len(list(Path(f"{warehouse.location('t')}.versions").glob("[!.]*"))) == 1
+
+
+def test_readers_of_a_kept_version_go_on(spark, settings):
+    warehouse = Warehouse(spark, replace(settings, kept_versions=1))
+    for layout in (Layout(), Layout("usage_date")):
+        name = f"t_{layout.partition_by}"
+        rows = [spark.createDataFrame([(i, date(2024, 1, 1))], "a int, usage_date date") for i in range(4)]
+        warehouse.replace(name, rows[0], layout)
+        files = warehouse.read(name).inputFiles()
+        warehouse.replace(name, rows[1], layout)
+        assert [r.a for r in spark.read.parquet(*files).collect()] == [0]
+        warehouse.replace(name, rows[2], layout)
+        assert not any(Path(f.removeprefix("file:")).exists() for f in files)
+        assert [r.a for r in warehouse.read(name).collect()] == [2]
+
+
+def test_rows_without_a_day_have_a_partition(spark, settings):
+    warehouse, layout = Warehouse(spark, settings), Layout("usage_date")
+    rows = spark.createDataFrame([(1, None), (2, date(2024, 1, 2))], "a int, usage_date date")
+    warehouse.replace("t", rows, layout)
+    assert content(warehouse.read("t")) == content(rows)
+    other = spark.createDataFrame([(3, None)], "a int, usage_date date")
+    assert warehouse.overwrite_partitions("t", other, layout, drop_vanished=False) == []
+    assert sorted(r.a for r in warehouse.read("t").collect()) == [2, 3]
+    assert warehouse.partition_dates("t") == [date(2024, 1, 2)]
+
+
+def test_partitions_are_sorted_by_the_clustering_columns(spark, settings):
+    import pyarrow.parquet as pq
+
+    warehouse = Warehouse(spark, settings)
+    day = F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 3).cast("int"))
+    rows = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("k"), day.alias("usage_date"))
+    warehouse.replace("t", rows.repartition(4), Layout("usage_date", ("k",)))
+    for file in warehouse.read("t").inputFiles():
+        keys = pq.ParquetFile(file.removeprefix("file:")).read().column("k").to_pylist()
+        assert keys == sorted(keys) and len(keys) > 100
