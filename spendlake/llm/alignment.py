@@ -1,7 +1,8 @@
 """Alignment of two tokenizations of the same bytes, and how often tokens are linked.
 
-Tokenizer A is a byte-level file of the ``tokenizers`` library and reads a space and the text; B is
-a ``sentencepiece`` model and reads the text, before which it puts a space itself.  Where a token
+Tokenizer A is a byte-level file of the ``tokenizers`` library whose ids rise with its merges (so
+that ``tiktoken`` reads texts by it as well) and reads a space and the text; B is a
+``sentencepiece`` model and reads the text, before which it puts a space itself.  Where a token
 of A and one of B both end, a group is cut; every A token of a group is linked with every B token
 of it.
 
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.bpe import byte_characters
+from spendlake.llm.bpe import SPLIT, byte_characters
 from spendlake.llm.common import commonest, map_arrow, ship, sliced_by_bytes, stored
 
 LANE = 1024
@@ -44,6 +45,8 @@ KNOWN_PAIRS = 1 << 19
 #: Links expanded at once; larger groups are counted by distinct ids.
 _LINKS = 1 << 20
 _LARGE_GROUP = 1 << 16
+#: Characters of a word from which tokenizer A itself reads the text.
+_LONG_WORD = 1000
 #: Distinct pairs a task gathers before it hands their counts on.
 _GATHERED = 1 << 20
 
@@ -60,6 +63,7 @@ class Tokenizers:
     def __init__(self, a_path: str, b_path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         import tokenizers
 
         self.a = tokenizers.Tokenizer.from_file(a_path)
@@ -73,6 +77,9 @@ class Tokenizers:
         for i, token in entries:
             own = all(c in byte for c in token)
             self.a_bytes[i] = bytes(byte[c] for c in token) if own else token.encode()
+        plain = self.a.get_vocab(with_added_tokens=False).values()
+        ranks = {self.a_bytes[i]: i for i in plain if i not in self.a.get_added_tokens_decoder()}
+        self.fast = tiktoken.Encoding("a", pat_str=SPLIT.pattern, mergeable_ranks=ranks, special_tokens={})
         self.b_bytes = [
             bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
             for i, piece in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))
@@ -84,10 +91,16 @@ class Tokenizers:
         self.size = size
         self.written = [b"%d%b" % (i, s) for s in (b",", b"|", b";") for i in range(size)]
 
+    def _a_tokens(self, text: str) -> list[int]:
+        """Both ways give the same ids; the faster one takes quadratic time for one long word."""
+        if " " * _LONG_WORD in text or len(max(text.split(" "), key=len)) > _LONG_WORD:
+            return self.a.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
     def tokens(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
         """A and B ids of each text, none where a tokenizer does not give it back."""
         full = [t or "" for t in texts]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in full], add_special_tokens=False)]
+        a = [self._a_tokens(" " + t) for t in full]
         b = self.b.encode(full, num_threads=1)
         result = []
         for text, x, y in zip(full, a, b):

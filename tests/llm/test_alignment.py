@@ -107,6 +107,14 @@ def test_lanes_and_blocks_change_nothing(monkeypatch):
         assert small.tolist() == large.tolist()
 
 
+def test_both_ways_of_reading_give_the_same_ids(monkeypatch):
+    both = alignment.Tokenizers(*alignment.default_paths())
+    texts = [t or "" for _, t in more_rows()]
+    fast = both.tokens(texts)
+    monkeypatch.setattr(alignment, "_LONG_WORD", 1)
+    assert both.tokens(texts) == fast
+
+
 def test_aligned_returns_tokens_and_cuts(spark):
     documents = spark.createDataFrame([(1, "plain words"), (2, None)], "doc_id long, text string")
     found = {r["doc_id"]: r for r in alignment.aligned(documents).collect()}
