@@ -121,8 +121,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents")
-    tokens = bpe.encode(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return bpe.decode(tokens.drop("text")).drop("ids", "decoded")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return bpe.round_trip(texts, keep_ids=False)
 
 
 @query("op6_mixing")

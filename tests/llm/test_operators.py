@@ -276,6 +276,10 @@ def test_bpe_equals_the_library(documents):
         expected[(doc_id, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(decoded.encode()))] += 1
     assert counted(got, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == expected
     assert got.where("decoded <> coalesce(text, '')").count() == 0 and "lang" in got.columns
+    for keep_ids in (True, False):
+        at_once = bpe.round_trip(documents, keep_ids=keep_ids)
+        assert counted(at_once, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == expected
+        assert not {"text", "decoded"} & set(at_once.columns) and ("ids" in at_once.columns) == keep_ids
 
 
 def test_bpe_on_odd_words():
@@ -286,8 +290,29 @@ def test_bpe_on_odd_words():
     for _ in range(300):
         text = "".join(rng.choice(alphabet, size=rng.integers(1, 120)))
         assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
-    for text in ("a" * 3000, " " * 3000, "-=" * 2000, "\n" * 50 + "x"):
+    for text in ("a" * 3000, " " * 3000, "-=" * 2000, "\n" * 50 + "x", "", " ", "<|endoftext|>", "x" + " y" * 200_000):
         assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    texts = ["", "one", " two  three ", "one two", "", "\x1f x\n\n y"] * 3
+    together = own.encode_all(texts)
+    assert [t.tolist() for t in together] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_automaton_tables_answer_as_the_gadgets():
+    """The vectorised transitions, whatever the table has forgotten, against gadgets made anew."""
+    automaton = bpe.codec(bpe.default_path()).automaton
+    rng = np.random.default_rng(5)
+    tokens = np.unique(automaton.longest[1:])
+    before, after = rng.choice(tokens, 4000), rng.choice(tokens, 4000)
+    found = automaton._transitions(automaton.target[before], after)
+    table = bpe.Automaton.__new__(bpe.Automaton)
+    table.__dict__.update(automaton.__getstate__())
+    for _ in range(2):
+        assert table.follows(before, after).tolist() == found.tolist()
+    vocabulary = {bytes([c]): 10 + c for c in range(256)} | {b"a": 0, b"b": 1, b"ab": 2, b"aba": 3}
+    small = bpe.Automaton(vocabulary, [(b"a", b"b"), (b"ab", b"a")])
+    for word, path in ((b"ababa", [2, 3]), (b"abab", [2, 2]), (b"baab", [1, 0, 2]), (b"aba", [3])):
+        ids, counts = small.paths([word])
+        assert (ids.tolist(), counts.tolist()) == (path, [len(path)])
 
 
 def test_mixture(documents):
