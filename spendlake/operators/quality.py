@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -61,56 +61,95 @@ class Check:
     parent_column: str | None = None
 
 
-def _outcome(df: DataFrame, check: Check, failing: str) -> DataFrame:
-    return df.select(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_kind"),
-        F.coalesce(F.col(failing), F.lit(0)).cast("long").alias("failing_rows"),
-    )
+def _findings(df: DataFrame, model: str, checks: Sequence[Check]) -> list[Column]:
+    """What a row of a table tells the suite: structs of check, hash, value, n and parent."""
+
+    def told(number: int, hashed: Column | None, value: Column | None, n: int, parent: int) -> Column:
+        return F.struct(
+            F.lit(number).alias("check"),
+            (F.lit(None).cast("long") if hashed is None else hashed).alias("hash"),
+            (F.lit(None).cast("string") if value is None else value.cast("string")).alias("value"),
+            F.lit(n).cast("long").alias("n"),
+            F.lit(parent).alias("parent"),
+        )
+
+    found = []
+    for number, check in enumerate(checks):
+        if check.model == model:
+            column = F.col(check.column)
+            if check.kind == "not_null":
+                found.append(F.when(column.isNull(), told(number, None, None, 1, 0)))
+            elif check.kind == "accepted_values":
+                found.append(F.when(~column.isin(*check.accepted), told(number, None, None, 1, 0)))
+            elif check.kind == "unique":
+                hashed = F.xxhash64(column.cast("string"))
+                found.append(F.when(column.isNotNull(), told(number, hashed, None, 1, 0)))
+            else:
+                found.append(F.when(column.isNotNull(), told(number, None, column, 1, 0)))
+        if check.kind == "relationships" and check.parent == model:
+            column = F.col(check.parent_column)
+            found.append(F.when(column.isNotNull(), told(number, None, column, 0, 1)))
+    return found
+
+
+def _exploded(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    parts = []
+    for model in dict.fromkeys(name for c in checks for name in (c.model, c.parent) if name):
+        found = _findings(tables[model], model, checks)
+        rows = tables[model].select(F.explode(F.array(*found)).alias("x"))
+        parts.append(rows.where("x IS NOT NULL").select("x.*"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: model, column_name, check_kind, failing_rows.
 
-    The not-null and accepted-value checks of a table are counted in one pass over it; each
-    unique check is one aggregation and each relationship one anti-join of distinct keys.
     A duplicated value counts once, every other check counts rows.
+
+    However many checks there are, each table is scanned once: a row says what it means to every
+    check of its table, and all of that meets in one aggregate, combined before it is shuffled.
+    Only failing rows count for row checks.  A relationship is the child's and the parent's values
+    grouped together, so a hot key is one row from each task and there is no join.  Of unique
+    columns only 64-bit hashes are shuffled; a hash that comes twice may be two values, so just
+    the rows of such hashes are read again and counted by value.  Where there are none, which is
+    known before that second scan would begin, it falls away.
     """
-    outcomes: list[DataFrame] = []
-    for model in dict.fromkeys(check.model for check in checks):
-        mine = [check for check in checks if check.model == model]
-        df = tables[model]
-        row_checks = [c for c in mine if c.kind in ("not_null", "accepted_values")]
-        if row_checks:
-            outcomes.append(_row_check_counts(df, row_checks))
-        for check in mine:
-            if check.kind == "unique":
-                bad = duplicated_values(df, check.column).agg(F.count(F.lit(1)).alias("n"))
-                outcomes.append(_outcome(bad, check, "n"))
-            elif check.kind == "relationships":
-                bad = orphan_values(
-                    df, check.column, tables[check.parent], check.parent_column
-                ).agg(F.sum("row_count").alias("n"))
-                outcomes.append(_outcome(bad, check, "n"))
-    return reduce(DataFrame.unionByName, outcomes)
-
-
-def _row_check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    counts = []
-    for position, check in enumerate(checks):
-        column = F.col(check.column)
-        bad = column.isNull() if check.kind == "not_null" else ~column.isin(*check.accepted)
-        counts.append(F.count_if(bad).alias(f"n{position}"))
-    outcomes = F.array(
-        *[
-            F.struct(
-                F.lit(check.model).alias("model"),
-                F.lit(check.column).alias("column_name"),
-                F.lit(check.kind).alias("check_kind"),
-                F.col(f"n{position}").alias("failing_rows"),
-            )
-            for position, check in enumerate(checks)
-        ]
+    grouped = (
+        _exploded(tables, checks)
+        .groupBy("check", "hash", "value")
+        .agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    )
+    # Orphans and failing rows count; hashes do not.  Both uses below need all columns of the
+    # aggregate and filter on its results alone, so they share its shuffle.
+    counted = grouped.where((F.col("parent") == 0) & (F.col("n") > 0)).select(
+        "check", F.when(F.col("hash").isNull(), F.col("n")).otherwise(0).alias("failing")
+    )
+    outcomes = [counted]
+    if any(c.kind == "unique" for c in checks):
+        twice = grouped.where(F.when(F.col("hash").isNotNull(), F.col("n") > 1 + F.col("parent")))
+        suspects = _values_of(tables, checks).join(twice.select("check", "hash"), ["check", "hash"])
+        doubles = suspects.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        outcomes.append(doubles.select("check", F.lit(1).cast("long").alias("failing")))
+    spark = tables[checks[0].model].sparkSession
+    declared = spark.createDataFrame(
+        [(n, c.model, c.column, c.kind) for n, c in enumerate(checks)],
+        "check int, model string, column_name string, check_kind string",
     )
-    return df.agg(*counts).select(F.inline(outcomes))
+    none = declared.select("check", F.lit(0).cast("long").alias("failing"))
+    sums = reduce(DataFrame.unionAll, [*outcomes, none]).groupBy("check").agg(
+        F.sum("failing").alias("failing_rows")
+    )
+    return declared.join(sums, "check").select("model", "column_name", "check_kind", "failing_rows")
+
+
+def _values_of(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """``check, hash, value`` of the columns that must be unique."""
+    parts = []
+    for model in dict.fromkeys(c.model for c in checks if c.kind == "unique"):
+        own = [(n, F.col(c.column).cast("string")) for n, c in enumerate(checks) if c.model == model and c.kind == "unique"]
+        values = [
+            F.struct(F.lit(n).alias("check"), F.xxhash64(v).alias("hash"), v.alias("value")) for n, v in own
+        ]
+        rows = tables[model].select(F.explode(F.array(*values)).alias("x")).select("x.*")
+        parts.append(rows.where(F.col("value").isNotNull()))
+    return reduce(DataFrame.unionAll, parts)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.functions import (
+    amount_parts,
     exact_sum,
+    joined_amount,
     month_boundaries,
     ratio,
     text_list,
@@ -179,15 +181,42 @@ def dim_products(
     )
 
 
+_COST_PARTS = [f"cost_part_{n}" for n in range(4)]
+
+
+def _usage_state(usage: DataFrame) -> DataFrame:
+    """What a line adds to its account: a count and the parts of its cost, which add up exactly."""
+    parts = zip(_COST_PARTS, amount_parts("effective_cost_usd"), strict=True)
+    return usage.select(
+        "billing_account_id",
+        "usage_date",
+        F.lit(1).cast("long").alias("usage_line_count"),
+        *[part.alias(name) for name, part in parts],
+    )
+
+
+def account_usage_by_day(usage: DataFrame) -> DataFrame:
+    """Mergeable totals per account and day, from which lifetime totals are made without the lines."""
+    sums = [F.sum(name).alias(name) for name in ("usage_line_count", *_COST_PARTS)]
+    return _usage_state(usage).groupBy("billing_account_id", "usage_date").agg(*sums)
+
+
 def dim_billing_accounts(
     accounts: DataFrame, customers: DataFrame, usage: DataFrame
 ) -> DataFrame:
     """Billing account with its customer and its lifetime usage."""
-    lifetime = usage.groupBy("billing_account_id").agg(
+    return billing_accounts_by_state(accounts, customers, _usage_state(usage))
+
+
+def billing_accounts_by_state(
+    accounts: DataFrame, customers: DataFrame, state: DataFrame
+) -> DataFrame:
+    """The same from totals per account and day, or any finer ones."""
+    lifetime = state.groupBy("billing_account_id").agg(
         F.min("usage_date").alias("first_usage_date"),
         F.max("usage_date").alias("last_usage_date"),
-        F.count(F.lit(1)).alias("usage_line_count"),
-        exact_sum("effective_cost_usd").alias("lifetime_effective_cost_usd"),
+        F.sum("usage_line_count").alias("usage_line_count"),
+        joined_amount([F.sum(name) for name in _COST_PARTS]).alias("lifetime_effective_cost_usd"),
     )
     owned = keep_known(accounts, customers.select(*CUSTOMER_ATTRIBUTES), "customer_id")
     joined = add_rollups(

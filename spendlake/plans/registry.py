@@ -29,6 +29,21 @@ class Refresh:
     drop_vanished: bool = True
 
 
+@dataclass(frozen=True)
+class State:
+    """Totals per partition of one input that a model is merged from, stored beside the model.
+
+    An incremental run makes them anew for the days it reads again, and reads no other day of
+    the input; ``build`` of the model takes them in place of the input.
+    """
+
+    name: str
+    build: Callable[[DataFrame], DataFrame]
+    merge: Callable[..., DataFrame]
+    layout: Layout
+    refresh: Refresh
+
+
 @dataclass(frozen=True)
 class Model:
     name: str
@@ -39,8 +54,13 @@ class Model:
     layout: Layout = field(default_factory=Layout)
     refresh: Refresh | None = None
     takes_settings: bool = False
+    state: State | None = None
 
     def plan(self, inputs: dict[str, DataFrame], settings: Settings) -> DataFrame:
+        """``inputs`` may hold the model's state in place of the input it is made from."""
+        if self.state and self.state.name in inputs:
+            names = [self.state.name if n == self.state.refresh.input_name else n for n in self.inputs]
+            return self.state.merge(*[inputs[name] for name in names])
         frames = [inputs[name] for name in self.inputs]
         return self.build(*frames, settings) if self.takes_settings else self.build(*frames)
 
@@ -207,6 +227,13 @@ MODELS: list[Model] = [
             description="Billing accounts with their customer and lifetime usage.",
             column_comments={"lifetime_effective_cost_usd": "Effective cost of all its lines."},
         ),
+        state=State(
+            "dim_billing_accounts_usage",
+            core.account_usage_by_day,
+            core.billing_accounts_by_state,
+            Layout("usage_date", ("billing_account_id",), "Usage totals per account and day."),
+            Refresh("stg_cloud_usage", "usage_date", "day"),
+        ),
     ),
     Model(
         "fct_subscriptions",

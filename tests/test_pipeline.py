@@ -1,5 +1,6 @@
 """Stored models: full and incremental builds, schema changes, checks."""
 
+import re
 import uuid
 from collections import Counter
 from dataclasses import replace
@@ -443,3 +444,82 @@ def test_partitions_are_sorted_by_the_clustering_columns(spark, settings):
     for file in warehouse.read("t").inputFiles():
         keys = pq.ParquetFile(file.removeprefix("file:")).read().column("k").to_pylist()
         assert keys == sorted(keys) and len(keys) > 100
+
+
+def test_lifetime_totals_are_merged_from_days(spark, settings, tmp_path):
+    """A refresh reads the days of its window and equals a full rebuild, deletions included."""
+    first = make_lines(date(2024, 1, 20), 16)  # up to 4 February
+    Pipeline(spark, landed(spark, first), settings).build()
+    window = date(2024, 2, 1)
+    # In the window a line of each day is gone, and a day is new.
+    second = [x for x in first if x[1] < window or not x[0].endswith("-1")]
+    second += make_lines(date(2024, 2, 5), 1, cost=0.1)
+    refreshed = Pipeline(spark, landed(spark, second), replace(settings, incremental=True))
+    read, overwrite = {}, refreshed.warehouse.overwrite_partitions
+
+    def noted(name, df, *rest):
+        read[name] = df.inputFiles()
+        return overwrite(name, df, *rest)
+
+    refreshed.warehouse.overwrite_partitions = noted
+    refreshed.build()
+    files = read["dim_billing_accounts_usage"]
+    days_read = {re.search(r"usage_date=([0-9-]+)", f)[1] for f in files}
+    assert days_read == {str(d) for d in days(window, 5)}
+    fresh = replace(settings, database=f"{settings.database}_full", base_path=str(tmp_path / "full"))
+    rebuilt = Pipeline(spark, landed(spark, second), fresh)
+    rebuilt.build()
+    accounts = refreshed.table("dim_billing_accounts")
+    assert content(accounts) == content(rebuilt.table("dim_billing_accounts"))
+    assert accounts.agg(F.sum("usage_line_count")).first()[0] == len(second)
+    assert content(refreshed.warehouse.read("dim_billing_accounts_usage")) == content(
+        rebuilt.warehouse.read("dim_billing_accounts_usage")
+    )
+    # A rebuild from scratch does not leave old totals for the next refresh.
+    third = [x for x in second if x[1] != date(2024, 1, 25)]
+    Pipeline(spark, landed(spark, third), settings).build()
+    again = Pipeline(spark, landed(spark, third), replace(settings, incremental=True))
+    again.build()
+    assert again.table("dim_billing_accounts").agg(F.sum("usage_line_count")).first()[0] == len(third)
+
+
+def file_scans(df):
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return re.findall(r"FileScan parquet", final)
+
+
+def test_the_suite_scans_each_table_once(spark, tmp_path):
+    tables = {
+        "child": spark.range(4000).select(
+            F.concat(F.lit("a long key of a row "), "id").alias("id"), (F.col("id") % 7).cast("string").alias("p"),
+            F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("kind"),
+        ),
+        "parent": spark.range(7).select(F.col("id").cast("string").alias("p")),
+    }
+    stored = {}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    checks = [
+        *[Check("child", c, "not_null") for c in ("id", "p", "kind")],
+        Check("child", "id", "unique"),
+        Check("parent", "p", "unique"),
+        Check("child", "p", "relationships", parent="parent", parent_column="p"),
+        Check("child", "kind", "accepted_values", accepted=("x", "y")),
+    ]
+    outcome = run_checks(stored, checks)
+    assert [r.failing_rows for r in outcome.collect()] == [0] * 7
+    assert len(file_scans(outcome)) == 2, "one scan a table, none for the second look"
+    doubled = stored | {"child": stored["child"].unionAll(stored["child"].limit(3))}
+    found = {(r.column_name, r.check_kind): r.failing_rows for r in run_checks(doubled, checks).collect()}
+    assert found.pop(("id", "unique")) == 3 and set(found.values()) == {0}
+
+
+def test_hashes_that_collide_are_no_duplicates(spark, monkeypatch):
+    """With a hash of two values only, every value is looked at again, and none is wrongly found."""
+    from spendlake.operators import quality
+
+    monkeypatch.setattr(quality.F, "xxhash64", lambda v: F.length(v).cast("long") % 2)
+    rows = spark.createDataFrame([(str(i),) for i in range(50)] + [("7",), ("7",), ("33",), (None,), (None,)], "k string")
+    checks = [Check("t", "k", "unique"), Check("t", "k", "not_null")]
+    assert [r.failing_rows for r in run_checks({"t": rows}, checks).collect()] == [2, 2]
