@@ -1,6 +1,6 @@
 """Command line: land the exports, build the models, run the checks, show a report.
 
-    python -m spendlake land  --source exports/ --base /shared/lake
+    python -m spendlake land  --source exports/ --base /shared/lake [--daily]
     python -m spendlake build --base /shared/lake [--incremental] [--tag finops]
     python -m spendlake check --base /shared/lake
     python -m spendlake report top_cost_drivers --month 2024-05-01 --base /shared/lake
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from spendlake.plans.pipeline import Pipeline
 from spendlake.plans.reports import REPORTS
 from spendlake.settings import Settings, prepare_session
+from spendlake.sinks.tables import Warehouse
+from spendlake.sources.daily_landing import land_days
 from spendlake.sources.landing import land, path_exists
 from spendlake.sources.schemas import LANDING_SCHEMAS
 
@@ -30,6 +32,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--source", help="folder with <table>.json or <table>.ndjson exports")
     parser.add_argument("--database", default="spendlake")
     parser.add_argument("--landing-database", default="landing")
+    parser.add_argument("--daily", action="store_true", help="land usage by day, other days stay")
     parser.add_argument("--incremental", action="store_true")
     parser.add_argument("--full-refresh", action="store_true")
     parser.add_argument("--lookback-days", type=int, default=3)
@@ -42,18 +45,34 @@ def _arguments() -> argparse.Namespace:
     return parser.parse_args()
 
 
+#: The landing table that may be kept by day, and below the base path the database it is in.
+DAILY, DAILY_DATABASE = "cloud_usage", "landing_days"
+
+
+def _daily(spark: SparkSession, base: str) -> Warehouse:
+    return Warehouse(spark, Settings(database=DAILY_DATABASE, base_path=base))
+
+
 def _landed(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {
+    landed = {
         name: spark.read.schema(schema).parquet(f"{base}/landing/{name}")
         for name, schema in LANDING_SCHEMAS.items()
         if path_exists(spark, f"{base}/landing/{name}")
     }
+    daily = _daily(spark, base)
+    return landed | ({DAILY: daily.read(DAILY)} if daily.exists(DAILY) else {})
 
 
-def _land(spark: SparkSession, source: str, base: str) -> None:
+def _land(spark: SparkSession, source: str, base: str, by_day: bool) -> None:
     for name, schema in LANDING_SCHEMAS.items():
         ndjson = f"{source}/{name}.ndjson"
         lines = path_exists(spark, ndjson)
+        if by_day and name == DAILY:
+            file = ndjson if lines else f"{source}/{name}.json"
+            kind = "ndjson" if lines else "array"
+            days = land_days(_daily(spark, base), name, file, schema, layout=kind)
+            print(f"{name}: skipped, no file" if days is None else f"{name}: {len(days)} days")
+            continue
         rows = land(
             spark,
             ndjson if lines else f"{source}/{name}.json",
@@ -69,7 +88,7 @@ def main() -> int:
     args = _arguments()
     spark = prepare_session(SparkSession.builder.appName("spendlake").getOrCreate())
     if args.command == "land":
-        _land(spark, args.source, args.base)
+        _land(spark, args.source, args.base, args.daily)
         return 0
     settings = Settings(
         reporting_currency=args.currency,

@@ -176,7 +176,9 @@ def cloud_usage(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = read_table(spark, folder, "lineitem")
     orders = read_table(spark, folder, "orders")
     part = read_table(spark, folder, "part")
-    df = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).join(
+    # Orders grow with their lines, so the two are merged at every size, and the lines, still
+    # narrow, then lie in as many tasks as a shuffle has, however few files they came from.
+    df = lineitem.join(orders.hint("merge"), lineitem.l_orderkey == orders.o_orderkey).join(
         part, lineitem.l_partkey == part.p_partkey
     )
     order, supplier = F.col("l_orderkey"), F.col("l_suppkey")

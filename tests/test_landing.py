@@ -1,11 +1,20 @@
 import json
+import uuid
+from datetime import date, timedelta
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from spendlake import Settings
+from spendlake.operators.incremental import since
+from spendlake.plans import raw
+from spendlake.sinks.tables import Warehouse
 from spendlake.sources import landing
-from spendlake.sources.schemas import CUSTOMERS, PRODUCTS
+from spendlake.sources.daily_landing import land_days
+from spendlake.sources.schemas import CLOUD_USAGE, CUSTOMERS, PRODUCTS
+from tests import fixtures as fx
 
 PRODUCT = {
     "product_id": "p1", "product_name": "One", "product_family": "F", "description": "d",
@@ -68,3 +77,28 @@ def test_inferred_fields_are_those_of_the_schema(spark, tmp_path):
     found = landing.field_paths(landing.infer_schema(spark, str(tmp_path / "x.json")))
     assert found == landing.field_paths(StructType.fromDDL(PRODUCTS))
     assert "pricing.tiers.rate_pct" in found
+
+
+def test_days_landed_anew_replace_their_own_only(spark, tmp_path):
+    """A refresh of the raw table then lists the partitions of its window and no other."""
+    settings = Settings(database=f"l_{uuid.uuid4().hex}", base_path=str(tmp_path / "lake"))
+    warehouse = Warehouse(spark, settings)
+    source = tmp_path / "usage.ndjson"
+
+    def write(first, n, cost):
+        days = [first + timedelta(days=i) for i in range(n)]
+        rows = fx.usage(spark, [fx.line(f"{d}-{i}", d, cost=(cost, 0.0, cost, "USD")) for d in days for i in range(2)])
+        source.write_text("\n".join(r.value for r in rows.select(F.to_json(F.struct("*")).alias("value")).collect()))
+        return land_days(warehouse, "cloud_usage", str(source), CLOUD_USAGE, layout="ndjson"), days
+
+    assert land_days(warehouse, "cloud_usage", str(tmp_path / "none"), CLOUD_USAGE) is None
+    for first, n, cost in ((date(2024, 1, 1), 8, 1.0), (date(2024, 1, 6), 4, 5.0)):
+        landed, days = write(first, n, cost)
+        assert landed == days
+    table = warehouse.read("cloud_usage")
+    costs = {r.usage_date: r["sum(cost.list_cost_usd)"] for r in table.groupBy("usage_date").agg({"cost.list_cost_usd": "sum"}).collect()}
+    assert costs == {date(2024, 1, d): 2.0 if d < 6 else 10.0 for d in range(1, 10)}
+    refreshed = raw.raw_cloud_usage(since(table, "usage_date", date(2024, 1, 6)))
+    assert {f.split("usage_date=")[1][:10] for f in refreshed.inputFiles()} == {f"2024-01-0{d}" for d in range(6, 10)}
+    flat = StructType.fromDDL(CLOUD_USAGE)
+    assert sorted(table.columns) == sorted(flat.names) and refreshed.count() == 8
