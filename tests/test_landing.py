@@ -96,7 +96,8 @@ def test_days_landed_anew_replace_their_own_only(spark, tmp_path):
         landed, days = write(first, n, cost)
         assert landed == days
     table = warehouse.read("cloud_usage")
-    costs = {r.usage_date: r["sum(cost.list_cost_usd)"] for r in table.groupBy("usage_date").agg({"cost.list_cost_usd": "sum"}).collect()}
+    sums = table.groupBy("usage_date").agg(F.sum("cost.list_cost_usd").alias("cost")).collect()
+    costs = {r.usage_date: r.cost for r in sums}
     assert costs == {date(2024, 1, d): 2.0 if d < 6 else 10.0 for d in range(1, 10)}
     refreshed = raw.raw_cloud_usage(since(table, "usage_date", date(2024, 1, 6)))
     assert {f.split("usage_date=")[1][:10] for f in refreshed.inputFiles()} == {f"2024-01-0{d}" for d in range(6, 10)}
