@@ -19,7 +19,7 @@ Ties in similarity go to the neighbour with the smaller id.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from operator import eq
 
 import numpy as np
@@ -28,10 +28,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import map_arrow, mixed, utf8, with_fields
+from spendlake.llm.common import map_arrow, mixed, ship, utf8, with_fields
 
-#: Bounds of what is fitted: labelled documents, latent dimensions, hashed terms.
+#: Bounds of what is fitted: labelled documents and bytes of their whole texts, latent dimensions,
+#: hashed terms.
 SAMPLE = 4096
+SAMPLE_BYTES = 48_000_000
 RANK = 48
 TERMS = 4096
 #: The same for words and pairs of words; each has ``WORDS`` dimensions.
@@ -208,6 +210,34 @@ class Neighbours:
         self.basis = _basis(TERMS, len(texts), RANK, lambda m: rows @ m, lambda m: rows.T @ m)
         self.vectors, self.labels = self._latent(rows, words), labels.astype(np.float32)
 
+    def arrays(self) -> dict[str, np.ndarray]:
+        shapes, lexical = self.vectors
+        return {
+            "idf": self.idf,
+            "word_idf": self.word_idf,
+            "basis": self.basis,
+            "word_basis": self.word_basis,
+            "shapes": shapes,
+            "lexical": lexical,
+            "labels": self.labels,
+        }
+
+    @classmethod
+    def of(cls, parts: pa.Table) -> Neighbours:
+        """The space that rows of ``_fitted`` hold, put together without further copies."""
+        found = {}
+        for row in parts.drop_columns(["content"]).to_pylist():
+            if row["name"] not in found:
+                found[row["name"]] = np.empty(row["shape"], row["kind"])
+        for n, (name, part) in enumerate(zip(parts.column("name").to_pylist(), parts.column("part").to_pylist())):
+            content = parts.column("content")[n].as_buffer()
+            raw = found[name].reshape(-1).view(np.uint8)
+            raw[part * _PART : part * _PART + len(content)] = np.frombuffer(content, np.uint8)
+        model = cls.__new__(cls)
+        model.vectors = [found.pop("shapes"), found.pop("lexical")]
+        vars(model).update(found)
+        return model
+
     def _latent(self, rows: np.ndarray, words: Rows) -> list[np.ndarray]:
         return [_unit(rows @ self.basis), _unit(words.times(self.word_basis))]
 
@@ -237,7 +267,8 @@ _TERMS = Terms()
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Neighbours | None:
     """The space of at most ``sample`` labelled documents outside the held-out ones.
 
-    They are those with the smallest hashes of their ids, so a rerun takes the same.
+    They are those with the smallest hashes of their ids, so a rerun takes the same, as many as
+    have ``SAMPLE_BYTES`` of whole texts together, and one at least.
     """
     known = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -248,19 +279,59 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Neighb
     )
     order = F.xxhash64("_id")
     chosen = known.orderBy(order, "_id").limit(sample)
-    rows = (
+    labelled = (
         documents.select(F.col("doc_id").cast("long").alias("_id"), "text")
         .join(F.broadcast(chosen), "_id")
-        .orderBy(order, "_id", F.md5("text"))
-        .limit(sample)
-        .collect()
+        .select("*", order.alias("_order"), F.md5("text").alias("_print"))
     )
-    if not rows:
+    rank = ["_order", "_id", "_print"]
+    sizes = labelled.select(*rank, F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
+    sizes = np.cumsum([r["n"] for r in sizes.orderBy(*rank).limit(sample).collect()])
+    if not len(sizes):
         return None
-    rows.sort(key=lambda r: r["_id"])
-    texts, marks = [(r["text"] or "").encode() for r in rows], np.array([r["_label"] for r in rows])
-    del rows
-    return Neighbours(texts, marks)
+    fitting = max(1, int(np.searchsorted(sizes, SAMPLE_BYTES, "right")))
+    # Spark orders and cuts the sample; one task fits it, so the driver holds the result alone.
+    ship(documents.sparkSession)
+    rows = labelled.orderBy(*rank).limit(fitting).select("_id", "_label", "text")
+    parts = rows.coalesce(1).mapInArrow(_fitted, "name string, part int, shape array<long>, kind string, content binary")
+    return Neighbours.of(parts.toArrow())
+
+
+#: Bytes of a fitted array that come back in one row.
+_PART = 4_000_000
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The arrays of the space that the rows fit, in parts."""
+    columns: dict[str, list] = {"_id": [], "_label": [], "text": []}
+    for batch in batches:
+        for name, values in columns.items():
+            values += batch.column(name).to_pylist()
+    if not columns["_id"]:
+        return
+    texts, order = columns["text"], sorted(range(len(columns["_id"])), key=lambda n: columns["_id"][n])
+    marks = np.array([columns["_label"][n] for n in order])
+    model = Neighbours([(texts[n] or "").encode() for n in order], marks)
+    for name, array in model.arrays().items():
+        content = memoryview(np.ascontiguousarray(array)).cast("B")
+        for part, start in enumerate(range(0, max(1, len(content)), _PART)):
+            own = [[name], [part], [list(array.shape)], [array.dtype.str], [bytes(content[start : start + _PART])]]
+            types = [pa.string(), pa.int32(), pa.list_(pa.int64()), pa.string(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(own, types)], names=["name", "part", "shape", "kind", "content"]
+            )
+
+
+def without_rejected(documents: DataFrame, model: Neighbours | None) -> DataFrame:
+    """The documents that are not predicted to be bad, with their columns as they are.
+
+    Names that begin with two underscores are kept for the inside.
+    """
+    names = {"score": "__score", "predicted": "__predicted"}
+    own = [name for name in names if name in documents.columns]
+    scored = quality_scores(documents.withColumnsRenamed({n: names[n] for n in own}), model)
+    kept = scored.where("predicted = 1").drop("score", "predicted")
+    return kept.withColumnsRenamed({names[n]: n for n in own}).select(*[f"`{c}`" for c in documents.columns])
 
 
 def quality_scores(documents: DataFrame, model: Neighbours | None) -> DataFrame:
