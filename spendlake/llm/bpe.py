@@ -410,8 +410,8 @@ def default_path() -> str:
 
 
 def _shared(rows: DataFrame, path: str | None) -> Broadcast[Codec]:
-    """The codec, compiled once and sent to the workers: a few MB, whatever the texts."""
-    return rows.sparkSession.sparkContext.broadcast(codec(path or default_path()))
+    """The codec, compiled and sent to the workers: a few MB, whatever the texts; the driver keeps none."""
+    return rows.sparkSession.sparkContext.broadcast(Codec(path or default_path()))
 
 
 _DIGESTS = "n_tokens long, ids_sha256 string, decoded string, decoded_sha256 string"
