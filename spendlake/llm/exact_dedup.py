@@ -170,14 +170,17 @@ def exact_groups(documents: DataFrame) -> DataFrame:
 
 
 def without_copies(documents: DataFrame) -> DataFrame:
-    """The documents with one row of each group of equal texts."""
+    """The documents with one row of each group of equal texts.
+
+    All columns stay as they are; names that begin with two underscores are kept for the inside.
+    """
     stay = (
         exact_groups(documents)
         .where("kept")
-        .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_print"))
+        .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__print"))
         .distinct()
     )
     own = F.sha2(F.coalesce("text", F.lit("")), 256)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_print"))
-    rows = documents.withColumn("_text", own).join(stay.hint("merge"), same)
-    return rows.dropDuplicates(["_id", "_print"]).select(*documents.columns)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__print"))
+    rows = documents.withColumn("__own", own).join(stay.hint("merge"), same)
+    return rows.dropDuplicates(["__id", "__print"]).select(*[f"`{c}`" for c in documents.columns])

@@ -224,13 +224,19 @@ class Mixture:
         block_words: int = BLOCK_WORDS,
         shard_blocks: int = SHARD_BLOCKS,
         seed: int = 1,
+        row_key: Column | None = None,
     ) -> None:
         spark, self.block_words = documents.sparkSession, block_words
+        more = [] if row_key is None else [row_key.alias("row_key")]
         sized = stored(
             documents.select(
-                F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(F.col("text")).alias("size")
+                F.col("doc_id").cast("long").alias("doc_id"),
+                "source",
+                n_words(F.col("text")).alias("size"),
+                *more,
             )
         )
+        more = ["row_key"] * len(more)
         table = _sources(sized, weights, share, most, block_words)
         #: source, its number, source_size, target, blocks, draws.
         self.sources = spark.createDataFrame(list(table.itertuples(index=False, name=None)), _SOURCES)
@@ -239,11 +245,12 @@ class Mixture:
         #: doc_id, size, number, source_size, target of every document.
         self.documents = sized.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         run = _offsets(
-            self.documents.where("size > 0").select("doc_id", "number", "size", F.md5(key).alias("_hash"))
+            self.documents.where("size > 0").select("doc_id", "number", "size", F.md5(key).alias("_hash"), *more)
         )
         last = F.expr(f"(first + size - 1) div {block_words}")
         block = run.withColumn("block", F.explode(F.sequence(F.expr(f"first div {block_words}"), last)))
-        #: Documents cut at block bounds: number, block, doc_id, size, and the words [start, end) of the document.
+        #: Documents cut at block bounds: number, block, doc_id, size, the words [start, end) of the document and,
+        #: if rows have keys, the row's key and place in its source.
         self.pieces = block.select(
             "number",
             "block",
@@ -251,6 +258,7 @@ class Mixture:
             "size",
             F.greatest(F.col("block") * block_words - F.col("first"), F.lit(0)).alias("start"),
             F.least((F.col("block") + 1) * block_words - F.col("first"), F.col("size")).alias("end"),
+            *[name for key in more for name in (key, "first")],
         )
         #: shard, slot, number, turn, block.
         self.slots = _slots(table, sized, shard_blocks, seed)
@@ -292,26 +300,33 @@ def mixed_documents(documents: DataFrame, **settings: object) -> DataFrame:
 
     A text that a pass takes whole is unchanged; of others the words of the blocks taken remain,
     joined by spaces.  Documents of which nothing is taken go.  ``n_chars`` follows the text.
+    Rows with equal or null ids are told apart by source and text; of rows equal in all three each
+    has its own share, with the further columns of one of them.  Names that begin with two
+    underscores are kept for the inside.
     """
+    fields = [F.col("doc_id").cast("string"), F.col("source").cast("string"), F.col("text")]
+    # Null and any text are told apart by what precedes them.
+    marked = [F.coalesce(F.concat(F.lit("+"), field), F.lit("-")) for field in fields]
+    key = F.unhex(F.md5(F.concat_ws("\x00", *marked)))
     ranges = (
-        Mixture(documents, **settings)
+        Mixture(documents, row_key=key, **settings)
         .mixed()
-        .groupBy("doc_id", "size", "turn")
+        .groupBy("number", "first", "size", "turn", "row_key")
         .agg(
-            F.sum(F.col("end") - F.col("start")).alias("_taken"),
-            F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_ranges"),
+            F.sum(F.col("end") - F.col("start")).alias("__taken"),
+            F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__ranges"),
         )
-        .withColumnsRenamed({"doc_id": "_id", "size": "_size", "turn": "_turn"})
+        .select(F.col("row_key").alias("__key"), F.col("size").alias("__size"), "__taken", "__ranges")
     )
-    rows = documents.withColumn("_words", n_words(F.col("text")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size"))
-    joined = rows.join(ranges.hint("merge"), same)
+    # Equal rows have a place each in the ranges, and one of them stands for all.
+    rows = documents.withColumn("__key", key).dropDuplicates(["__key"])
+    joined = rows.join(ranges.hint("merge"), "__key")
     words = F.array_remove(F.split("text", BLANKS), "")
     part = let(
         words,
         lambda w: F.array_join(
             F.transform(
-                "_ranges",
+                "__ranges",
                 lambda r: F.array_join(
                     F.slice(w, (r["start"] + 1).cast("int"), (r["end"] - r["start"]).cast("int")), " "
                 ),
@@ -319,8 +334,8 @@ def mixed_documents(documents: DataFrame, **settings: object) -> DataFrame:
             " ",
         ),
     )
-    text = F.when(F.col("_taken") >= F.col("_size"), F.col("text")).otherwise(part)
+    text = F.when(F.col("__taken") >= F.col("__size"), F.col("text")).otherwise(part)
     joined = joined.withColumn("text", text)
     if "n_chars" in documents.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return joined.select(*documents.columns)
+    return joined.select(*[f"`{c}`" for c in documents.columns])

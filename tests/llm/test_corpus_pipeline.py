@@ -4,10 +4,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from spendlake.llm import bpe, queries
+from spendlake.llm import bpe, mixing, queries
 from tests.llm.conftest import sentence
 
 
@@ -111,6 +112,53 @@ def test_an_empty_table_gives_no_rows(spark, folder, tmp_path):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert names["pipeline"] is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
     assert queries.ORACLES.items() <= entry.oracle_sql().items()
+
+
+CLASHING = (
+    "score predicted _text _words _id _print _size _taken _ranges number first turn row_key node root kept "
+    "component_id text_key size target source_size block start end slot shard"
+).split()
+
+
+def test_own_columns_and_rows_without_ids_go_through(spark, folder, tmp_path):
+    """Columns named as inner ones keep their values; rows with null or equal ids are not mixed up."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    more = [
+        (None, sentence(300, seed=900), "en", "s0", 1),
+        (None, sentence(300, seed=901), "en", "s0", 1),
+        (None, sentence(300, seed=902), "en", "s1", 1),
+        (7, sentence(300, seed=903), "en", "s1", 1),
+        (7, sentence(300, seed=904), "en", "s1", 1),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = docs.unionByName(spark.createDataFrame(more, schema))
+    print_ = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("doc_id", "source", "text")])
+    docs = docs.withColumns({name: F.concat(F.lit(f"{name} of "), F.md5(print_)) for name in CLASHING})
+    columns, given = docs.columns, Counter()
+    own = lambda r: tuple(r[c] for c in CLASHING)
+    before = {own(r): r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stored(stage(spark, docs, folder))
+        assert docs.columns == columns, name
+        rows = docs.collect()
+        given[name] = len(rows)
+        for r in rows:
+            source = before[own(r)]
+            assert (r["doc_id"], r["source"], r["lang"]) == (source["doc_id"], source["source"], source["lang"])
+            if name != "mixing sources":
+                assert r["text"] == source["text"]
+            else:
+                words, whole = r["text"].split(), source["text"].split()
+                assert words and set(words) <= set(whole) and len(words) <= len(whole), "words of its own text"
+    assert all(given.values())
+
+
+def test_equal_rows_each_have_their_share(spark):
+    rows = [(1, sentence(400, seed=31), "a")] * 3 + [(1, sentence(400, seed=32), "a"), (None, None, "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(2)
+    settings = {"share": 1.0, "most": 1.0, "block_words": 16, "shard_blocks": 8}
+    got = Counter(r["text"] for r in mixing.mixed_documents(frame, **settings).collect())
+    assert got == Counter(t for _, t, _ in rows if t)
