@@ -1,7 +1,8 @@
-"""Command line: land the exports, build the models, run the checks, show a report.
+"""Command line: land the exports, build the models, tidy their files, run the checks, show a report.
 
     python -m spendlake land  --source exports/ --base /shared/lake [--daily]
     python -m spendlake build --base /shared/lake [--incremental] [--tag finops]
+    python -m spendlake recluster --base /shared/lake
     python -m spendlake check --base /shared/lake
     python -m spendlake report top_cost_drivers --month 2024-05-01 --base /shared/lake
 """
@@ -26,7 +27,7 @@ from spendlake.sources.schemas import LANDING_SCHEMAS
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="spendlake", description=__doc__)
-    parser.add_argument("command", choices=["land", "build", "check", "report"])
+    parser.add_argument("command", choices=["land", "build", "recluster", "check", "report"])
     parser.add_argument("name", nargs="?", choices=sorted(REPORTS), help="which report")
     parser.add_argument("--base", required=True, help="folder all executors share")
     parser.add_argument("--source", help="folder with <table>.json or <table>.ndjson exports")
@@ -105,6 +106,10 @@ def main() -> int:
         for name in pipeline.build(set(args.tag), set(args.model)):
             print(f"built {name}")
         return 0
+    if args.command == "recluster":
+        for name, partitions in pipeline.recluster().items():
+            print(f"reclustered {len(partitions)} partitions of {name}")
+        return 0
     if args.command == "report":
         pipeline.report(args.name, usage_id=args.usage_id, month=args.month).show(100, False)
         return 0

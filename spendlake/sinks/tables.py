@@ -21,10 +21,11 @@ import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import AtomicType, StructField, StructType
 
 from spendlake.settings import Settings, shared_folder
 from spendlake.sinks.schema import SchemaChange, columns_of, compare
@@ -91,6 +92,20 @@ def arrange(df: DataFrame, layout: Layout, folders: Iterable[str] = ()) -> DataF
     return df
 
 
+def arrange_by_range(
+    df: DataFrame, layout: Layout, files: int, folders: Iterable[str] = ()
+) -> DataFrame:
+    """Like ``arrange``, but cut at sampled bounds of the clustering columns, into some ``files``.
+
+    A hash of the row comes last in the order, so a hot value is cut as well, into files that hold
+    nothing else.  Spark samples the bounds, which reads the rows twice.
+    """
+    spread = F.xxhash64(*[f.name for f in df.schema if isinstance(f.dataType, AtomicType)])
+    partition = [layout.partition_by] if layout.partition_by else []
+    cut = df.repartitionByRange(files, *partition, *layout.cluster_by, spread)
+    return cut.sortWithinPartitions(*partition, *folders, *layout.cluster_by)
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -176,6 +191,35 @@ class Warehouse:
         self._publish(name, self._next(pointer, folders={**kept, **folders}), passing)
         return sorted(date.fromisoformat(d) for d in folders if d != NULL_PARTITION)
 
+    def recluster(self, name: str, layout: Layout) -> list[str]:
+        """Make the files of each partition disjoint in the clustering columns; returns partitions.
+
+        A write cuts a hot day into files that may each span all clustering values.  Here the
+        partitions of several files whose ranges cross are written anew, at sampled bounds, and
+        published at once; a filter on the leading clustering columns then reads few files of a
+        day.  Partitions of one file or of disjoint files are neither rewritten nor, the former,
+        read.  Null clustering values come first, equal rows may fill several files.
+        """
+        if not layout.cluster_by or not self.exists(name):
+            return []
+        pointer = self._pointer(name)
+        several = [
+            value
+            for value, folder in pointer.folders.items()
+            if len(self._data_files(name, folder)) > 1
+        ]
+        crossing = {
+            row.partition: row.files
+            for row in self._crossing(self._rows_of(name, pointer, several), layout).collect()
+        }
+        if not crossing:
+            return []
+        self._clear_unfinished(name)
+        rows = self._rows_of(name, pointer, list(crossing))
+        folders = self._written(name, rows, layout, sum(crossing.values()))
+        self._publish(name, self._next(pointer, folders={**pointer.folders, **folders}))
+        return sorted(crossing)
+
     def partition_dates(self, name: str) -> list[date]:
         """Dates the table has a partition for, from its pointer alone."""
         if not self.exists(name):
@@ -212,12 +256,49 @@ class Warehouse:
 
     # --- writing and publishing ---
 
-    def _written(self, name: str, df: DataFrame, layout: Layout) -> dict[str, str]:
-        """Write rows under a new version; the folder of each partition, below the table."""
+    def _data_files(self, name: str, folder: str) -> list[str]:
+        names = file_names(self.spark, f"{self.location(name)}/{folder}")
+        return [n for n in names if not n.startswith(("_", "."))]
+
+    def _rows_of(self, name: str, pointer: Pointer, values: list[str]) -> DataFrame:
+        """Rows of some partitions, by their names in the pointer."""
+        rows = self.read(name)
+        if not pointer.partition:
+            return rows if values else rows.limit(0)
+        column = F.col(pointer.partition)
+        dates = [date.fromisoformat(v) for v in values if v != NULL_PARTITION]
+        wanted = column.isin(dates) if dates else F.lit(False)
+        return rows.where(wanted | column.isNull() if NULL_PARTITION in values else wanted)
+
+    def _crossing(self, rows: DataFrame, layout: Layout) -> DataFrame:
+        """``partition, files`` of partitions with files whose clustering ranges cross."""
+        by = layout.partition_by
+        value = F.coalesce(F.col(by).cast("string"), F.lit(NULL_PARTITION)) if by else F.lit("")
+        key = F.struct(*layout.cluster_by)
+        files = rows.groupBy(
+            value.alias("partition"), F.col("_metadata.file_path").alias("file")
+        ).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+        before = Window.partitionBy("partition").orderBy("low", "high")
+        highest = F.max("high").over(before.rowsBetween(Window.unboundedPreceding, -1))
+        return (
+            files.withColumn("crosses", F.col("low") < highest)
+            .groupBy("partition")
+            .agg(F.count("*").alias("files"), F.bool_or("crosses").alias("crossing"))
+            .where("crossing")
+        )
+
+    def _written(
+        self, name: str, df: DataFrame, layout: Layout, files: int | None = None
+    ) -> dict[str, str]:
+        """Write rows under a new version; the folder of each partition, below the table.
+
+        With a number of ``files``, rows are cut by ranges of the clustering columns.
+        """
+        cut = partial(arrange_by_range, files=files) if files else arrange
         version, root, column = uuid.uuid4().int >> 66, self.location(name), layout.partition_by
         write_text(self.spark, f"{self._pointers(name)}/started-{version}", "")
         if not column:
-            arrange(df, layout).write.parquet(f"{root}/version={version}")
+            cut(df, layout).write.parquet(f"{root}/version={version}")
             return {"": f"version={version}"}
         seen = Observation(f"partitions of {name}")
         # No literal: Spark would leave it out of the sort, and then sort once more without clusters.
@@ -227,7 +308,7 @@ class Warehouse:
             F.collect_set(column).alias("present"),
             F.coalesce(F.max(F.col(column).isNull()), F.lit(False)).alias("without"),
         )
-        rows = arrange(observed, layout, ["version"])
+        rows = cut(observed, layout, folders=["version"])
         rows.write.mode("append").partitionBy(column, "version").parquet(root)
         days = [str(day) for day in seen.get["present"]]
         days += [NULL_PARTITION] if seen.get["without"] else []

@@ -294,6 +294,89 @@ def test_hot_day_is_written_as_several_files(spark, settings, tmp_path):
     assert counts[date(2024, 1, 1)] > 1 and counts[date(2024, 1, 5)] == 1
 
 
+@pytest.fixture
+def small_files(spark):
+    """Shuffles wider than the number of days and files of some 100 kB, as large data has them."""
+    options = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100kb", "spark.sql.shuffle.partitions": "100"}
+    before = {option: spark.conf.get(option) for option in options}
+    for option, value in options.items():
+        spark.conf.set(option, value)
+    yield
+    for option, value in before.items():
+        spark.conf.set(option, value)
+
+
+def key_ranges(files):
+    """First and last ``k`` in the row groups of each file, in order."""
+    import pyarrow.parquet as pq
+
+    ranges = []
+    for file in files:
+        parquet = pq.ParquetFile(file.removeprefix("file:")).metadata
+        column = parquet.schema.to_arrow_schema().names.index("k")
+        groups = [parquet.row_group(i).column(column).statistics for i in range(parquet.num_row_groups)]
+        ranges.append((min(g.min for g in groups), max(g.max for g in groups), parquet.num_rows))
+    return sorted(ranges)
+
+
+def hot_rows(spark):
+    """Half of the rows on one day, and there a third of them with one key."""
+    day = F.when(F.col("id") % 2 == 0, F.lit(date(2024, 1, 1))).otherwise(
+        F.date_add(F.lit(date(2024, 1, 2)), (F.col("id") % 21).cast("int"))
+    )
+    key = F.when(F.col("id") % 3 == 0, 5000).otherwise((F.col("id") * 7919) % 10_000)
+    rows = spark.range(60_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("a"), key.cast("int").alias("k"), day.alias("usage_date")
+    )
+    return rows.repartition(8)
+
+
+def test_files_of_a_hot_day_become_disjoint(spark, settings, small_files):
+    warehouse, layout = Warehouse(spark, settings), Layout("usage_date", ("k",))
+    rows = hot_rows(spark)
+    warehouse.replace("t", rows, layout)
+    hot = F.col("usage_date") == date(2024, 1, 1)
+    before = key_ranges(warehouse.read("t").where(hot).inputFiles())
+    holding = lambda ranges, k: sum(low <= k <= high for low, high, _ in ranges)
+    assert len(before) > 3 and holding(before, 1234) > 3
+    files = {f.partition("usage_date=")[2][:10]: f for f in warehouse.read("t").inputFiles()}
+    done = warehouse.recluster("t", layout)
+    assert "2024-01-01" in done and len(done) < len(files)
+    after = key_ranges(warehouse.read("t").where(hot).inputFiles())
+    assert len(after) > 3 and holding(after, 1234) <= 2 and holding(after, 9876) <= 2
+    assert all(high <= low for (_, high, _), (low, _, _) in zip(after, after[1:]))
+    # The hot key is cut, too.
+    assert holding(after, 5000) > 1 and max(n for _, _, n in after) < 2 * 30_000 / len(after)
+    # Other days keep their files, and nothing is left to do.
+    kept = {f for day, f in files.items() if day not in done}
+    assert kept and kept <= set(warehouse.read("t").inputFiles())
+    assert warehouse.recluster("t", layout) == []
+    stored = warehouse.read("t").select(rows.columns)
+    assert stored.exceptAll(rows).isEmpty() and rows.exceptAll(stored).isEmpty()
+
+
+def test_recluster_of_nulls_and_without_partitions(spark, settings, small_files):
+    warehouse, layout = Warehouse(spark, settings), Layout(cluster_by=("k", "a"))
+    rows = hot_rows(spark).withColumn("k", F.when(F.col("k") % 4 != 0, F.col("k")))
+    warehouse.replace("plain", rows, layout)
+    assert warehouse.recluster("plain", layout) == [""] and warehouse.recluster("plain", layout) == []
+    undated = rows.withColumn("usage_date", F.lit(None).cast("date"))
+    warehouse.replace("undated", undated, replace(layout, partition_by="usage_date"))
+    assert len(warehouse.recluster("undated", replace(layout, partition_by="usage_date"))) == 1
+    for name, expected in (("plain", rows), ("undated", undated)):
+        stored = warehouse.read(name).select(rows.columns)
+        assert stored.exceptAll(expected).isEmpty() and stored.count() == 60_000
+
+
+def test_recluster_leaves_empty_unclustered_and_missing_tables(spark, settings):
+    warehouse, layout = Warehouse(spark, settings), Layout("usage_date", ("k",))
+    assert warehouse.recluster("missing", layout) == []
+    warehouse.replace("empty", hot_rows(spark).limit(0), layout)
+    assert warehouse.recluster("empty", layout) == []
+    warehouse.replace("plain", hot_rows(spark), Layout("usage_date"))
+    assert warehouse.recluster("plain", Layout("usage_date")) == []
+
+
 def test_reports_run_on_stored_models(spark, settings):
     pipeline = Pipeline(spark, landed(spark, fx.january_lines()), settings)
     pipeline.build()

@@ -269,6 +269,20 @@ def sink_cluster(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.read("lines")
 
 
+@query("sink_recluster", _LINE_SQL)
+def sink_recluster(spark: SparkSession, folder: str) -> DataFrame:
+    """Written in files of some 64 kB, as if a day were large; then cut into disjoint ones."""
+    warehouse, option = _warehouse(spark), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(option)
+    spark.conf.set(option, "64kb")
+    try:
+        warehouse.replace("lines", _event_lines(spark, folder), DAY_LAYOUT)
+        warehouse.recluster("lines", DAY_LAYOUT)
+    finally:
+        spark.conf.set(option, before)
+    return warehouse.read("lines")
+
+
 _RESTATED = date(2024, 1, 28)
 _RESTATED_SQL = sql(
     """SELECT usage_id, usage_date, customer_id, cloud_provider,
