@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
+from spendlake.settings import shared_folder
+from spendlake.sources.json_arrays import MalformedArray, array_elements
+
 log = logging.getLogger(__name__)
 
 
@@ -124,15 +127,19 @@ def _reject_non_array(spark: SparkSession, path: str) -> None:
 def read_json_array(
     spark: SparkSession, path: str, schema: str, strict: bool = True
 ) -> DataFrame:
-    """Rows of pretty-printed JSON array files, one row per array element.
+    """Rows of JSON array files, pretty-printed or not, one row per array element.
 
-    Such a file cannot be split, so each one is read by a single task; land it once and read
-    the landed table.  Large exports should come as many files or as NDJSON.
+    A large file is cut into its elements by many tasks.  They are written one a line to the shared
+    scratch folder and read from there, so land an export once and read the landed table.
     """
     if strict:
         _reject_non_array(spark, path)
-        reject_unknown_fields(spark, path, schema, multi_line=True)
-    return spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(path)
+    scratch = shared_folder(spark)
+    try:
+        array_elements(spark, path, scratch).write.text(f"{scratch}/lines")
+    except MalformedArray as error:
+        raise LandingError(str(error)) from None
+    return read_ndjson(spark, f"{scratch}/lines", schema, strict)
 
 
 def read_ndjson(

@@ -1,4 +1,5 @@
 import json
+import random
 import uuid
 from datetime import date, timedelta
 
@@ -11,7 +12,7 @@ from spendlake import Settings
 from spendlake.operators.incremental import since
 from spendlake.plans import raw
 from spendlake.sinks.tables import Warehouse
-from spendlake.sources import landing
+from spendlake.sources import json_arrays, landing
 from spendlake.sources.daily_landing import land_days
 from spendlake.sources.schemas import CLOUD_USAGE, CUSTOMERS, PRODUCTS
 from tests import fixtures as fx
@@ -71,6 +72,59 @@ def test_empty_array(spark, tmp_path):
     assert land(spark, tmp_path, "[]") == 0
 
 
+@pytest.fixture
+def small_splits(spark):
+    option = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(option)
+    yield lambda size: spark.conf.set(option, size)
+    spark.conf.set(option, before)
+
+
+NASTY = ["}", "{", "]", "[", '"', "\\", "\\\"", "},{", "\n", "\r\n", "é", "\u2028", "", "a", " ", "}]", '"}', "x" * 300]
+ITEMS = "id long, text string, parts array<struct<name:string,more:struct<deep:string>>>"
+
+
+def nasty_records(seed, n):
+    draw = random.Random(seed)
+    text = lambda: "".join(draw.choice(NASTY) for _ in range(draw.randrange(6)))
+    return [
+        {"id": i, "text": text(), "parts": [{"name": text(), "more": {"deep": text()}} for _ in range(draw.randrange(4))]}
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("seed, indent, size", [(1, None, 150), (2, 2, 297), (3, None, 1 << 20)])
+def test_array_is_cut_into_its_elements_at_any_split(spark, tmp_path, small_splits, seed, indent, size):
+    records = nasty_records(seed, 14)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, some in (("a", records[:9]), ("b", records[9:10]), ("c", []), ("d", records[10:])):
+        text = json.dumps(some, indent=indent, ensure_ascii=seed % 2 == 0)
+        (folder / f"{name}.json").write_text(text + "\n", newline="")
+    small_splits(size)
+    rows = landing.read_json_array(spark, str(folder), ITEMS).orderBy("id").collect()
+    assert [r.asDict(recursive=True) for r in rows] == records
+
+
+def test_one_array_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    (tmp_path / "x.json").write_text(json.dumps(nasty_records(7, 400)))
+    small_splits(20_000)
+    pieces = json_arrays._pieces(spark, str(tmp_path / "x.json"))
+    assert pieces.select(F.spark_partition_id()).distinct().count() > 3
+    assert landing.read_json_array(spark, str(tmp_path / "x.json"), ITEMS).count() == 400
+
+
+@pytest.mark.parametrize("text", [
+    '[{"id": 1}', '[{"id": 1}, {"id": 2', '[{"id": 1}, {"id": "2}]', '[{"id": 1} {"id": 2}]', '[{"id": 1}, 5, {"id": 2}]',
+    '[{"id": 1}] x', '[{"id": 1}], {"id": 2}', '[{"id": 1}, ]', '[[{"id": 1}]]', '[1]', '[{"id": }]', '[{"id": 1}}]',
+])
+def test_broken_array_is_an_error(spark, tmp_path, small_splits, text):
+    (tmp_path / "x.json").write_text(text)
+    small_splits(6)
+    with pytest.raises((PySparkException, landing.LandingError)):
+        landing.read_json_array(spark, str(tmp_path / "x.json"), ITEMS).collect()
+
+
 def test_inferred_fields_are_those_of_the_schema(spark, tmp_path):
     (tmp_path / "x.json").write_text(json.dumps({**PRODUCT, "features": [
         {"feature_code": "f", "feature_name": "F", "availability": "GA", "min_tier": "T"}]}))
