@@ -34,6 +34,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--database", default="spendlake")
     parser.add_argument("--landing-database", default="landing")
     parser.add_argument("--daily", action="store_true", help="land usage by day, other days stay")
+    parser.add_argument("--split-arrays", action="store_true", help="cut array files by many tasks")
     parser.add_argument("--incremental", action="store_true")
     parser.add_argument("--full-refresh", action="store_true")
     parser.add_argument("--lookback-days", type=int, default=3)
@@ -64,13 +65,13 @@ def _landed(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return landed | ({DAILY: daily.read(DAILY)} if daily.exists(DAILY) else {})
 
 
-def _land(spark: SparkSession, source: str, base: str, by_day: bool) -> None:
+def _land(spark: SparkSession, source: str, base: str, by_day: bool, array: str) -> None:
     for name, schema in LANDING_SCHEMAS.items():
         ndjson = f"{source}/{name}.ndjson"
         lines = path_exists(spark, ndjson)
         if by_day and name == DAILY:
             file = ndjson if lines else f"{source}/{name}.json"
-            kind = "ndjson" if lines else "array"
+            kind = "ndjson" if lines else array
             days = land_days(_daily(spark, base), name, file, schema, layout=kind)
             print(f"{name}: skipped, no file" if days is None else f"{name}: {len(days)} days")
             continue
@@ -79,7 +80,7 @@ def _land(spark: SparkSession, source: str, base: str, by_day: bool) -> None:
             ndjson if lines else f"{source}/{name}.json",
             f"{base}/landing/{name}",
             schema,
-            layout="ndjson" if lines else "array",
+            layout="ndjson" if lines else array,
         )
         print(f"{name}: skipped, no file" if rows is None else f"{name}: {rows} rows")
 
@@ -89,7 +90,8 @@ def main() -> int:
     args = _arguments()
     spark = prepare_session(SparkSession.builder.appName("spendlake").getOrCreate())
     if args.command == "land":
-        _land(spark, args.source, args.base, args.daily)
+        array = "split_array" if args.split_arrays else "array"
+        _land(spark, args.source, args.base, args.daily, array)
         return 0
     settings = Settings(
         reporting_currency=args.currency,

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from spendlake.sinks.tables import Layout, Warehouse
-from spendlake.sources.landing import path_exists, read_json_array, read_ndjson
+from spendlake.sources.landing import READERS, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -32,8 +32,7 @@ def land_days(
     if not path_exists(warehouse.spark, source):
         log.warning("skipping %s: not found", source)
         return None
-    reader = read_json_array if layout == "array" else read_ndjson
-    rows = reader(warehouse.spark, source, schema, strict)
+    rows = READERS[layout](warehouse.spark, source, schema, strict)
     if rows.schema[column].dataType.simpleString() != "date":
         raise ValueError(f"{column} is no date")
     daily = Layout(column)

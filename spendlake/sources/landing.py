@@ -127,10 +127,25 @@ def _reject_non_array(spark: SparkSession, path: str) -> None:
 def read_json_array(
     spark: SparkSession, path: str, schema: str, strict: bool = True
 ) -> DataFrame:
-    """Rows of JSON array files, pretty-printed or not, one row per array element.
+    """Rows of pretty-printed JSON array files, one row per array element.
 
-    A large file is cut into its elements by many tasks.  They are written one a line to the shared
-    scratch folder and read from there, so land an export once and read the landed table.
+    Each file is read by a single task, the cheapest way for many files of ordinary size;
+    ``read_split_array`` reads few large ones.
+    """
+    if strict:
+        _reject_non_array(spark, path)
+        reject_unknown_fields(spark, path, schema, multi_line=True)
+    return spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(path)
+
+
+def read_split_array(
+    spark: SparkSession, path: str, schema: str, strict: bool = True
+) -> DataFrame:
+    """The same rows, from files that are each cut into their elements by many tasks.
+
+    It takes far more processor time than one task would, spread over the cluster.  The elements
+    are written one a line to the shared scratch folder and read from there, so land an export
+    once and read the landed table.
     """
     if strict:
         _reject_non_array(spark, path)
@@ -151,6 +166,9 @@ def read_ndjson(
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+READERS = {"array": read_json_array, "split_array": read_split_array, "ndjson": read_ndjson}
+
+
 def land(
     spark: SparkSession,
     source: str,
@@ -159,7 +177,7 @@ def land(
     layout: str = "array",
     strict: bool = True,
 ) -> int | None:
-    """Replace the landing table at ``target`` with the rows of ``source``.
+    """Replace the landing table at ``target`` with the rows of ``source``, read as ``layout`` says.
 
     Returns the number of rows landed, or None when there is no such file: the load of that
     table is then skipped and the old landing table stays.
@@ -167,8 +185,7 @@ def land(
     if not path_exists(spark, source):
         log.warning("skipping %s: not found", source)
         return None
-    reader = read_json_array if layout == "array" else read_ndjson
-    reader(spark, source, schema, strict).write.mode("overwrite").parquet(target)
+    READERS[layout](spark, source, schema, strict).write.mode("overwrite").parquet(target)
     landed = spark.read.schema(schema).parquet(target).count()
     log.info("%s: landed %s rows", target, landed)
     return landed

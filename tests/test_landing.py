@@ -102,7 +102,7 @@ def test_array_is_cut_into_its_elements_at_any_split(spark, tmp_path, small_spli
         text = json.dumps(some, indent=indent, ensure_ascii=seed % 2 == 0)
         (folder / f"{name}.json").write_text(text + "\n", newline="")
     small_splits(size)
-    rows = landing.read_json_array(spark, str(folder), ITEMS).orderBy("id").collect()
+    rows = landing.read_split_array(spark, str(folder), ITEMS).orderBy("id").collect()
     assert [r.asDict(recursive=True) for r in rows] == records
 
 
@@ -111,7 +111,7 @@ def test_one_array_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
     small_splits(20_000)
     pieces = json_arrays._pieces(spark, str(tmp_path / "x.json"))
     assert pieces.select(F.spark_partition_id()).distinct().count() > 3
-    assert landing.read_json_array(spark, str(tmp_path / "x.json"), ITEMS).count() == 400
+    assert landing.read_split_array(spark, str(tmp_path / "x.json"), ITEMS).count() == 400
 
 
 @pytest.mark.parametrize("text", [
@@ -122,7 +122,7 @@ def test_broken_array_is_an_error(spark, tmp_path, small_splits, text):
     (tmp_path / "x.json").write_text(text)
     small_splits(6)
     with pytest.raises((PySparkException, landing.LandingError)):
-        landing.read_json_array(spark, str(tmp_path / "x.json"), ITEMS).collect()
+        landing.read_split_array(spark, str(tmp_path / "x.json"), ITEMS).collect()
 
 
 def test_inferred_fields_are_those_of_the_schema(spark, tmp_path):

@@ -89,6 +89,14 @@ def land_json_array(spark: SparkSession, folder: str) -> DataFrame:
     return _customer_summary(spark.read.schema(CUSTOMERS).parquet(f"{base}/landing"))
 
 
+@query("land_split_array", _CUSTOMER_SQL)
+def land_split_array(spark: SparkSession, folder: str) -> DataFrame:
+    base = shared_folder(spark)
+    _write_json_arrays(star_tables.customers(spark, folder), f"{base}/export")
+    landing.land(spark, f"{base}/export", f"{base}/landing", CUSTOMERS, layout="split_array")
+    return _customer_summary(spark.read.schema(CUSTOMERS).parquet(f"{base}/landing"))
+
+
 @query("land_ndjson", _CUSTOMER_SQL)
 def land_ndjson(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark)
