@@ -133,3 +133,13 @@ def test_revenue_bounds_come_from_the_partition_column(spark, stored, tmp_path):
     monthly = finops.agg_customer_monthly_spend(spark.read.parquet(path), subscriptions)
     monthly.collect()
     assert "struct<>" in read_schemas(monthly)
+
+
+def test_a_side_of_some_tens_of_megabytes_is_not_broadcast(spark, tmp_path):
+    """Files are compressed: such a side is many times larger as a hash table in the driver."""
+    # Random doubles do not compress, so the file is about as large as its 20 MB of rows.
+    path = str(tmp_path / "side")
+    spark.range(0, 2_500_000, 1, 4).select("id", F.rand(1).alias("x")).write.parquet(path)
+    side = spark.read.parquet(path)
+    joined = spark.range(100_000_000).join(side, "id").select("id", "x")
+    assert "BroadcastHashJoin" not in plan(joined) and "SortMergeJoin" in plan(joined)
