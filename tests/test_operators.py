@@ -242,3 +242,50 @@ def test_trailing_mean_by_running_sums(spark):
             mean = float(sum(known, Fraction(0))) / len(known) if known else None
             expected.append((*r, mean, own[i - 1][2] if i else None))
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected))
+
+
+def test_unread_distinct_counts_are_not_worked_out(spark, tmp_path):
+    """Counts that nobody selects cost no read of their columns."""
+    path = str(tmp_path / "lines")
+    spark.sql("SELECT id % 7 AS k, id * 0.5D AS x, id % 3 AS v FROM range(100)").write.parquet(path)
+    lines = spark.read.parquet(path)
+    whole = summarise(lines, ["k"], sums=["x"], distinct={"vs": "v"}, rows="lines")
+    spared = whole.select("k", "x")
+    text = spared._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Join" not in text
+    assert {(r.k, r.x) for r in spared.collect()} == {(r.k, r.x) for r in whole.collect()}
+    assert {(r.vs, r.lines) for r in whole.where("k < 2").collect()} == {(3, 15)}
+
+
+def test_fact_lines_move_once_and_keep_repeats(spark, tiny_skew_limits):
+    """Customers and accounts that come twice repeat a line; NULL accounts stay."""
+    usage = spark.createDataFrame(
+        [("u1", "c1", "a1"), ("u2", "c1", None), ("u3", "c2", "a9"), ("u4", "c9", "a1"), ("u5", None, "a1")],
+        "usage_id string, c string, a string",
+    )
+    customers = spark.createDataFrame([("c1", "x"), ("c1", "y"), ("c2", "z")], "c string, name string")
+    accounts = spark.createDataFrame([("a1", 1), ("a1", 2), (None, 3)], "a string, terms int")
+    pairs = joins.add_attributes(
+        joins.keep_known(usage.select("c", "a").distinct(), customers, "c"), accounts, "a"
+    )
+    joined = joins.join_pairs(usage, pairs, ["c", "a"])
+    single = joins.add_attributes(joins.keep_known(usage, customers, "c"), accounts, "a")
+    rows = lambda df: sorted(map(str, df.select("usage_id", "c", "a", "name", "terms").collect()))
+    assert rows(joined) == rows(single) and joined.count() == 7
+
+
+def test_few_groups_are_dealt_over_many_tasks(spark):
+    """The rows of one group do not meet in one task, and none is lost or doubled."""
+    options = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in options}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        lines = spark.sql("SELECT id, IF(id % 9 = 0, NULL, 'a') AS k, 1.5D AS x FROM range(9000)")
+        total = windows.add_joined_total(lines, lines, ["k"], "x", "total", buckets=64)
+        tasks = [r["count"] for r in total.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == 9000 and max(tasks) < 6000
+        assert {(r.k, r.total) for r in total.collect()} == {(None, 1500.0), ("a", 12000.0)}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
