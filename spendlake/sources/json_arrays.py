@@ -46,7 +46,7 @@ def _scanner() -> Callable[[str], tuple[int, tuple[int, int]]]:
     return scan
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
+def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path, lineSep="}").select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -146,7 +146,7 @@ def _cut(pieces: DataFrame) -> DataFrame:
     return pieces.mapInPandas(run, "file string, block long, part int, text string")
 
 
-def array_elements(spark: SparkSession, path: str, scratch: str) -> DataFrame:
+def array_elements(spark: SparkSession, path: str | list[str], scratch: str) -> DataFrame:
     """``value``: the text of each element of JSON array files, on one line.
 
     ``scratch`` is a new folder that all executors share; the parts of elements are kept there.

@@ -157,3 +157,21 @@ def test_days_landed_anew_replace_their_own_only(spark, tmp_path):
     assert {f.split("usage_date=")[1][:10] for f in refreshed.inputFiles()} == {f"2024-01-0{d}" for d in range(6, 10)}
     flat = StructType.fromDDL(CLOUD_USAGE)
     assert sorted(table.columns) == sorted(flat.names) and refreshed.count() == 8
+
+
+def test_large_array_files_are_split_without_being_asked(spark, tmp_path, monkeypatch):
+    """Files above the size one task may read go another way, small ones beside them do not."""
+    (tmp_path / "in").mkdir()
+    large = [{"a": n, "s": "x}" * 20} for n in range(500)]
+    (tmp_path / "in" / "large.json").write_text(json.dumps(large))
+    (tmp_path / "in" / "small.json").write_text(json.dumps([{"a": -1, "s": None}]))
+    monkeypatch.setattr(landing, "WHOLE_FILE_BYTES", 2000)
+    seen = []
+    split = landing.read_split_array
+    monkeypatch.setattr(
+        landing, "read_split_array", lambda spark, path, *more: seen.append(path) or split(spark, path, *more)
+    )
+    rows = landing.read_json_array(spark, str(tmp_path / "in"), "a long, s string").collect()
+    assert sorted(r.a for r in rows) == [-1, *range(500)]
+    (files,) = seen
+    assert [f.rsplit("/", 1)[1] for f in files] == ["large.json"]
