@@ -175,3 +175,13 @@ def test_large_array_files_are_split_without_being_asked(spark, tmp_path, monkey
     assert sorted(r.a for r in rows) == [-1, *range(500)]
     (files,) = seen
     assert [f.rsplit("/", 1)[1] for f in files] == ["large.json"]
+
+
+def test_inferred_schema_reads_a_compressed_export(spark, small_folder, tmp_path, monkeypatch):
+    """The text of all lines, many times the size of their tables, is never written plainly."""
+    from verification import storage
+
+    monkeypatch.setattr(storage, "shared_folder", lambda spark: str(tmp_path / "scratch"))
+    rows = storage.infer_nested_schema(spark, small_folder).count()
+    files = [f.name for f in (tmp_path / "scratch" / "export").glob("part-*")]
+    assert rows > 0 and files and all(f.endswith(".json.gz") for f in files)
