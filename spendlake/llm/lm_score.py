@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import map_arrow, ship, stored, utf8
+from spendlake.llm.common import map_arrow, ship, sliced_by_bytes, stored, utf8
 
 FREQUENT = 1024
 CLASS_WORDS = 32
@@ -56,6 +56,10 @@ _HISTORY = _START + 1
 _PAIR_ROWS, _WORD_PAIR_ROWS = 4096, 512
 _FLUSH = 300_000
 _CHUNK_WORDS = 400_000
+#: Texts of a batch that are decoded at once; a batch has up to 10,000.
+_DECODED = 64
+#: Bytes of texts that are scored at once: their words and sums are held together.
+_SCORED_BYTES = 1 << 21
 #: Contexts whose softmax is held at once.
 _CONTEXTS = 16_384
 
@@ -102,6 +106,17 @@ class Softmax:
     def log_probabilities(self, group: np.ndarray | int, context: np.ndarray) -> np.ndarray:
         return _log_softmax(sum(w[group, r] for w, r in zip(self.weights, self._rows(context))))
 
+    def outcome_logs(self, group: np.ndarray, context: np.ndarray, outcome: np.ndarray) -> np.ndarray:
+        """Log probabilities of outcomes; each pair of group and context once, a bounded number at once."""
+        groups = len(self.weights[0])
+        pairs, at = np.unique(context * groups + group, return_inverse=True)
+        logs = np.empty(len(at), np.float32)
+        for start in range(0, len(pairs), _CONTEXTS):
+            some = pairs[start : start + _CONTEXTS]
+            here = np.flatnonzero((at >= start) & (at < start + _CONTEXTS))
+            logs[here] = self.log_probabilities(some % groups, some // groups)[at[here] - start, outcome[here]]
+        return logs
+
     def add_gradient(self, sums: list[np.ndarray], group: int, context: np.ndarray, observed: np.ndarray) -> None:
         """Adds observed less expected counts to ``sums[0::2]`` and expected ones to ``sums[1::2]``."""
         expected = np.exp(self.log_probabilities(group, context)) * observed.sum(axis=1, keepdims=True)
@@ -138,7 +153,10 @@ class Model:
     def prepare(self) -> None:
         """Tables for scoring, made once in each Python worker."""
         contexts = np.arange(_HISTORY * _HISTORY)
-        self.class_table = self.classes.log_probabilities(0, contexts).astype(np.float32)
+        self.class_table = np.empty((len(contexts), _ALL_CLASSES), np.float32)
+        for start in range(0, len(contexts), _CONTEXTS):
+            some = slice(start, start + _CONTEXTS)
+            self.class_table[some] = self.classes.log_probabilities(0, contexts[some])
         rank, shapes = np.arange(len(self.words)), np.arange(SHAPES)
         shape = np.fromiter((_shape(w) for w in self.words), dtype=np.int64, count=len(self.words))
         # Words by rank, then one entry for each shape of the words outside.
@@ -177,10 +195,17 @@ def _class_of(target: np.ndarray) -> np.ndarray:
     return np.where(target < FREQUENT, target // CLASS_WORDS, target - FREQUENT + _CLASSES)
 
 
-def _chunks(texts: list[bytes]) -> Iterator[list[list[bytes]]]:
+def _texts(column: pa.Array) -> Iterator[bytes]:
+    """Texts in lower case, of which few are held beside the batch."""
+    for start in range(0, len(column), _DECODED):
+        for text in utf8(column.slice(start, _DECODED)):
+            yield text.lower()
+
+
+def _chunks(column: pa.Array) -> Iterator[list[list[bytes]]]:
     chunk, size = [], 0
-    for text in texts:
-        chunk.append(text.lower().split())
+    for text in _texts(column):
+        chunk.append(text.split())
         size += len(chunk[-1])
         if size >= _CHUNK_WORDS:
             yield chunk
@@ -198,8 +223,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     counts: Counter[bytes] = Counter()
     for batch in batches:
-        for text in utf8(batch.column("text")):
-            counts.update(text.lower().split())
+        for text in _texts(batch.column("text")):
+            counts.update(text.split())
             if len(counts) >= _FLUSH:
                 yield emit()
                 counts.clear()
@@ -217,7 +242,7 @@ def _count_contexts(training: DataFrame, model: Model) -> DataFrame:
         symbol = np.append(np.where(rank < SYMBOLS, rank, SYMBOLS + shape), SYMBOLS + shapes)
         target = np.append(rank, FREQUENT + shapes)
         for batch in batches:
-            for texts in _chunks(utf8(batch.column("text"))):
+            for texts in _chunks(batch.column("text")):
                 _, contexts, targets, _ = _sequences(texts, lookup, symbol, target)
                 keys, n = np.unique(contexts * _TARGETS + targets, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
@@ -334,14 +359,12 @@ def _score(batch: pa.RecordBatch, model: Model) -> pa.RecordBatch:
     constant = np.log10(model.tokens + model.types + 1.0)
     end_log = np.log10(model.end_count + 1.0)
     ln10 = np.log(10.0)
-    for texts in _chunks(utf8(batch.column("text"))):
+    for texts in _chunks(batch.column("text")):
         numbers, contexts, targets, first = _sequences(texts, model.lookup, model.symbol, model.target)
         group = _class_of(targets)
         logs = model.class_table[contexts, group].astype(np.float64)
         inside = np.flatnonzero(group < _CLASSES)
-        pairs, at = np.unique(contexts[inside] * _CLASSES + group[inside], return_inverse=True)
-        table = model.inner.log_probabilities(pairs % _CLASSES, pairs // _CLASSES)
-        logs[inside] += table[at, targets[inside] % CLASS_WORDS]
+        logs[inside] += model.inner.outcome_logs(group[inside], contexts[inside], targets[inside] % CLASS_WORDS)
         logs /= ln10
         outside = np.flatnonzero((group >= _CLASSES) & (group < _ALL_CLASSES - 1))
         logs[outside] -= model.shape_parts[group[outside] - _CLASSES]
@@ -395,6 +418,7 @@ def score(documents: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             run,
             "doc_id long, n_tokens long, n_known long, base_score double, score double,"
             " rare array<binary>, times array<long>",
+            slices=sliced_by_bytes("text", _SCORED_BYTES),
         ).withColumn("row", F.monotonically_increasing_id())
     )
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -264,6 +265,24 @@ def test_language_model_keeps_its_size(documents, monkeypatch):
         assert np.bincount(lm_score._pair_row(contexts, softmax.pair_rows)).max() <= most
 
 
+def test_language_model_holds_few_texts_and_contexts_at_once(monkeypatch):
+    decoded, utf8 = [], lm_score.utf8
+    monkeypatch.setattr(lm_score, "utf8", lambda column: decoded.append(len(column)) or utf8(column))
+    texts = [None, "", *[f"A {n} b" for n in range(1000)]]
+    chunks = list(lm_score._chunks(pa.array(texts)))
+    assert [words for chunk in chunks for words in chunk] == [words((t or "").lower()) for t in texts]
+    assert sum(decoded) == len(texts) and max(decoded) <= 64
+    softmax, contexts = lm_score.Softmax(2, 8, 32), np.arange(lm_score._HISTORY**2)
+    for weights in softmax.weights:
+        weights += np.random.default_rng(1).standard_normal(weights.shape).astype(np.float32)
+    whole = softmax.log_probabilities(contexts % 2, contexts)[contexts, contexts % 32]
+    tracemalloc.start()
+    got = softmax.outcome_logs(contexts % 2, contexts, contexts % 32)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, whole) and peak < 20e6
+
+
 def test_bpe_equals_the_library(documents):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(bpe.default_path())
