@@ -274,6 +274,17 @@ def test_fact_lines_move_once_and_keep_repeats(spark, tiny_skew_limits):
     assert rows(joined) == rows(single) and joined.count() == 7
 
 
+def test_joins_of_growing_tables_broadcast_nothing(spark):
+    """Small files can hold many rows, so neither rollups nor lines and pairs go by the driver."""
+    lines = spark.sql("SELECT id % 5 AS c, IF(id % 7 = 0, NULL, id % 3) AS a, id FROM range(90)")
+    pairs = lines.select("c", "a").distinct()
+    rollup = lines.groupBy("c").agg(F.count("*").alias("n"))
+    met, plan = executed(joins.join_pairs(lines, pairs, ["c", "a"]))
+    assert len(met) == 90 and "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    met, plan = executed(joins.add_rollups(lines, [rollup], "c"))
+    assert {r.n for r in met} == {18} and "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_few_groups_are_dealt_over_many_tasks(spark):
     """The rows of one group do not meet in one task, and none is lost or doubled."""
     options = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
