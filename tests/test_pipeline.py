@@ -153,6 +153,23 @@ def test_notes_outlive_the_catalog(spark, settings):
     assert not again.exists("unknown")
 
 
+def test_writes_leave_no_shuffle_files(spark, settings):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = blocks.getAllFiles().mkString(",").split(",")
+        return {f for f in files if "/shuffle_" in f and f.endswith(".data")}
+
+    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    warehouse, before, chosen = Warehouse(spark, settings), shuffles(), spark.conf.get(option)
+    totals = spark.range(5000).groupBy((F.col("id") % 500).alias("k")).agg(F.count("*").alias("n"))
+    days = totals.withColumn("usage_date", F.date_add(F.lit("2024-01-01").cast("date"), F.col("k").cast("int") % 3))
+    warehouse.replace("plain", totals)
+    warehouse.replace("by_day", days, Layout("usage_date", ("k",)))
+    warehouse.overwrite_partitions("by_day", days.where("k > 9"), Layout("usage_date", ("k",)))
+    assert shuffles() <= before and spark.conf.get(option) == chosen
+    assert warehouse.read("plain").count() == 500 and warehouse.read("by_day").count() == 490
+
+
 def test_vanished_partitions_lose_their_files(spark, settings):
     warehouse, layout = Warehouse(spark, settings), Layout("usage_date")
     first = date(2024, 1, 1)
