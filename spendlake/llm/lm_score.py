@@ -44,8 +44,9 @@ SYMBOLS = 192
 #: Words whose counts are broadcast: some 10 MB.
 KNOWN_WORDS = 1 << 17
 ROUNDS = 10
-#: Tasks of a round; each shuffles one gradient, some 12 MB, and the driver gets their sum.
-GRADIENT_TASKS = 6
+#: Rows of the context table in a task of a round; a task shuffles one gradient, some 12 MB, and
+#: the driver gets their sum.
+GRADIENT_ROWS = 1_000_000
 
 _CLASSES = FREQUENT // CLASS_WORDS
 _ALL_CLASSES = _CLASSES + SHAPES + 1
@@ -231,8 +232,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield emit()
 
 
-def _count_contexts(training: DataFrame, model: Model) -> DataFrame:
-    """``context, target, n``: how often a target follows two history symbols."""
+def _count_contexts(training: DataFrame, model: Model) -> tuple[DataFrame, int]:
+    """``key, n``: how often a target follows two history symbols, and into how many tasks it goes."""
     ranks = {w: r for w, r in model.words.items() if r < FREQUENT}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,11 +250,13 @@ def _count_contexts(training: DataFrame, model: Model) -> DataFrame:
 
     ship(training.sparkSession)
     rows = training.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    rows = stored(rows)
+    tasks = -(-rows.count() // GRADIENT_ROWS)
     # A context's rows together, in as many parts as there are gradients to add up.
-    return stored(rows.repartition(GRADIENT_TASKS, F.expr(f"key div {_TARGETS}")))
+    return stored(rows.repartition(tasks, F.expr(f"key div {_TARGETS}"))), tasks
 
 
-def _gradients(table: DataFrame, model: Model) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _gradients(table: DataFrame, model: Model, tasks: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Sums over all contexts for the classes and for the words within."""
     weights = table.sparkSession.sparkContext.broadcast((model.classes, model.inner))
 
@@ -288,7 +291,7 @@ def _gradients(table: DataFrame, model: Model) -> tuple[list[np.ndarray], list[n
     ship(table.sparkSession)
     totals = model.classes.empty_sums(), model.inner.empty_sums()
     arrays = [*totals[0], *totals[1]]
-    parts = table.coalesce(GRADIENT_TASKS).mapInArrow(run, "number int, sums binary")
+    parts = table.coalesce(tasks).mapInArrow(run, "number int, sums binary")
     for row in parts.groupBy("number").applyInPandas(add, "number int, sums binary").collect():
         arrays[row["number"]] += np.frombuffer(row["sums"], np.float32).reshape(arrays[row["number"]].shape)
     weights.destroy()
@@ -344,9 +347,9 @@ def train(training: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     model.classes.weights[0][0, 0] = np.log(by_class + 0.5)
     model.inner.weights[0][:, 0] = np.log(frequent.reshape(_CLASSES, -1) + 0.5)
     if ends:
-        table = _count_contexts(texts, model)
+        table, tasks = _count_contexts(texts, model)
         for number in range(rounds):
-            classes, inner = _gradients(table, model)
+            classes, inner = _gradients(table, model, tasks)
             rate = 0.6 if number < rounds - 3 else 0.3
             model.classes.step(classes, rate)
             model.inner.step(inner, rate)
