@@ -174,7 +174,8 @@ def without_copies(documents: DataFrame) -> DataFrame:
 
     All columns stay as they are; names that begin with two underscores are kept for the inside.
     """
-    stay = (
+    # Stored, so that the shuffles that find the groups do not begin together with the last join.
+    stay = stored(
         exact_groups(documents)
         .where("kept")
         .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__print"))

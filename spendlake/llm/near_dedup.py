@@ -129,9 +129,10 @@ def postings(classes: DataFrame, matches: int) -> DataFrame:
     """``key, node``: each class under the rarest of its pairs, as many as a link must share one of."""
     ship(classes.sparkSession)
     counted = classes.select("signature").mapInArrow(_count, "bucket int, n long")
+    # As Arrow: two columns of numbers, where rows of Python objects took 100 MB of the driver.
+    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(1 << COUNT_BITS, dtype=np.int64)
-    for row in counted.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        table[row["bucket"]] = row["n"]
+    table[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     counts, wanted = classes.sparkSession.sparkContext.broadcast(table), COORDINATES - matches + 1
 
     def post(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -210,8 +211,10 @@ def _long_list_links(
     star = members.select(F.col("node").alias("a"), "b")
     found = components(star)
     nodes = members.groupBy("node").agg(F.min("root").alias("root"))
-    family = nodes.join(found.withColumnRenamed("root", "_family"), "node", "left").select(
-        "node", "root", F.coalesce("_family", "node").alias("family")
+    family = stored(
+        nodes.join(found.withColumnRenamed("root", "_family"), "node", "left").select(
+            "node", "root", F.coalesce("_family", "node").alias("family")
+        )
     )
     sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks"))
     placed = family.join(sizes, "family").withColumn("_block", F.pmod(F.xxhash64("node"), "_blocks"))
@@ -220,7 +223,7 @@ def _long_list_links(
     rows = (
         meets.withColumn("_low", F.least("_block", "_other"))
         .withColumn("_high", F.greatest("_block", "_other"))
-        .join(_sets(documents, classes, nodes), "node")
+        .join(stored(_sets(documents, classes, family)).hint("merge"), "node")
         .join(classes.select("node", "signature"), "node")
         .select("family", "_low", "_high", "_block", "node", "root", "signature", "items")
     )
@@ -283,8 +286,10 @@ def near_links(documents: DataFrame, classes: DataFrame, percent: int) -> DataFr
     long = _long_list_links(
         rest.where(f"n > {SHORT_LIST}").select("key", "node", "root"), documents, classes, percent, matches
     )
-    known = stars.toDF("a", "b")
-    return components(known.union(more.select("a", "b")).union(long.select("a", "b")))
+    # One after the other: planned as one, some twenty shuffles would begin at once, each with
+    # buffers of megabytes in the driver.
+    more, long = stored(more.select("a", "b")), stored(long.select("a", "b"))
+    return components(stars.toDF("a", "b").union(more).union(long))
 
 
 def _reached(documents: DataFrame, percent: int) -> DataFrame:

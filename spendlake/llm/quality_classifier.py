@@ -19,13 +19,13 @@ Ties in similarity go to the neighbour with the smaller id.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from spendlake.llm.common import map_arrow, mixed, ship, utf8, with_fields
@@ -223,16 +223,15 @@ class Neighbours:
         }
 
     @classmethod
-    def of(cls, parts: pa.Table) -> Neighbours:
-        """The space that rows of ``_fitted`` hold, put together without further copies."""
+    def of(cls, parts: Iterable[Row]) -> Neighbours:
+        """The space that rows of ``_fitted`` hold, in any order, each copied into its place."""
         found = {}
-        for row in parts.drop_columns(["content"]).to_pylist():
+        for row in parts:
             if row["name"] not in found:
                 found[row["name"]] = np.empty(row["shape"], row["kind"])
-        for n, (name, part) in enumerate(zip(parts.column("name").to_pylist(), parts.column("part").to_pylist())):
-            content = parts.column("content")[n].as_buffer()
-            raw = found[name].reshape(-1).view(np.uint8)
-            raw[part * _PART : part * _PART + len(content)] = np.frombuffer(content, np.uint8)
+            raw = found[row["name"]].reshape(-1).view(np.uint8)
+            start, content = row["part"] * _PART, row["content"]
+            raw[start : start + len(content)] = np.frombuffer(content, np.uint8)
         model = cls.__new__(cls)
         model.vectors = [found.pop("shapes"), found.pop("lexical")]
         vars(model).update(found)
@@ -294,11 +293,14 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Neighb
     ship(documents.sparkSession)
     rows = labelled.orderBy(*rank).limit(fitting).select("_id", "_label", "text")
     parts = rows.coalesce(1).mapInArrow(_fitted, "name string, part int, shape array<long>, kind string, content binary")
-    return Neighbours.of(parts.toArrow())
+    # Dealt out and fetched one partition after the other: the driver's JVM holds a few parts, not
+    # several copies of all.
+    return Neighbours.of(parts.repartition(_PARTITIONS).toLocalIterator())
 
 
-#: Bytes of a fitted array that come back in one row.
+#: Bytes of a fitted array that come back in one row, and partitions that all rows come back in.
 _PART = 4_000_000
+_PARTITIONS = 16
 
 
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
