@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from spendlake.settings import shared_folder
+from spendlake.settings import passing_shuffles, shared_folder
+from spendlake.sources.landing import delete_folder
 
 #: The white space between words, as a Java or RE2 pattern; ``bytes.split()`` splits at the same.
 BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -35,12 +36,40 @@ def stored(rows: DataFrame) -> DataFrame:
     """The rows, written to the shared scratch folder and read again.
 
     Cuts the lineage: a lost executor costs no more than the files it was reading, and what
-    several later steps use is computed once.
+    several later steps use is computed once.  The shuffle files of the step go when it ends.
     """
     spark = rows.sparkSession
     folder = shared_folder(spark)
-    rows.write.parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)
+    with passing_shuffles(spark):
+        rows.write.option("compression", "zstd").parquet(folder)
+    table = spark.read.schema(rows.schema).parquet(folder)
+    table._scratch_folder = folder
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of stored tables, once all that reads them is stored itself."""
+    for table in tables:
+        delete_folder(table.sparkSession, table._scratch_folder)
+
+
+#: Words of 64 bits in the table of ``maybe_among``, which is broadcast.
+MARK_BITS = 18
+
+
+def maybe_among(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """The rows whose key may be among those of ``wanted``: all that are, and few others.
+
+    ``wanted`` marks the hashes of its keys in a bitmap of 2^18 words of 64 bits, whatever its
+    size, so rows that a join would only drop stay in their task.  Null is a key like any other.
+    """
+    word = lambda key: F.shiftrightunsigned(F.xxhash64(key), 64 - MARK_BITS)
+    mark = lambda key: F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.xxhash64(key).bitwiseAND(63).cast("int")
+    )
+    marks = wanted.groupBy(word(wanted_key).alias("_word")).agg(F.bit_or(mark(wanted_key)).alias("_marks"))
+    met = rows.join(F.broadcast(marks), word(key) == F.col("_word"))
+    return met.where(F.col("_marks").bitwiseAND(mark(key)) != 0).drop("_word", "_marks")
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

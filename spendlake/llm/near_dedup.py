@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import WordHashes, map_arrow, mixed, ship, stored, utf8
+from spendlake.llm.common import WordHashes, map_arrow, maybe_among, mixed, release, ship, stored, utf8
 from spendlake.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -165,8 +165,10 @@ def _rows(signatures: pa.Array) -> np.ndarray:
 
 def _sets(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, items``: the full shingle sets of some classes, from one document of each."""
-    wanted = classes.join(nodes, "node", "left_semi").select("doc_id", "node")
+    wanted = classes.select("doc_id", "node").join(nodes, "node", "left_semi")
     texts = documents.select(F.col("doc_id").cast("long").alias("_id"), "text")
+    # Only the texts wanted are shuffled, and few others.
+    texts = maybe_among(texts, F.col("_id"), wanted, F.col("doc_id"))
     rows = texts.join(wanted.hint("merge"), texts["_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
 
     def fill(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -185,7 +187,7 @@ def _sets(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFra
 
 
 def _confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are similar enough on their full sets."""
+    """The pairs that are similar enough on their full sets, stored."""
     pairs = stored(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = stored(_sets(documents, classes, nodes))
@@ -196,13 +198,15 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, perce
         own = [alike(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent) for x, y in zip(left, right)]
         return batch.select(["a", "b"]).filter(pa.array(own))
 
-    return map_arrow(both.select("a", "b", "_left", "_right"), keep, "a long, b long")
+    links = stored(map_arrow(both.select("a", "b", "_left", "_right"), keep, "a long, b long"))
+    release(pairs, sets)
+    return links
 
 
 def _long_list_links(
     posted: DataFrame, documents: DataFrame, classes: DataFrame, percent: int, matches: int
 ) -> DataFrame:
-    """Links among the members of long lists, ``posted`` as ``key, node, root``.
+    """Links among the members of long lists, stored; ``posted`` as ``key, node, root``.
 
     Lists that share a member are compared as one family, so no pair is compared once a list.
     A family is cut into blocks; a task holds two blocks.
@@ -218,12 +222,13 @@ def _long_list_links(
     )
     sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks"))
     placed = family.join(sizes, "family").withColumn("_block", F.pmod(F.xxhash64("node"), "_blocks"))
+    sets = stored(_sets(documents, classes, family))
     # Each block meets itself and every other one, in the task of the pair of blocks.
     meets = placed.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
     rows = (
         meets.withColumn("_low", F.least("_block", "_other"))
         .withColumn("_high", F.greatest("_block", "_other"))
-        .join(stored(_sets(documents, classes, family)).hint("merge"), "node")
+        .join(sets.hint("merge"), "node")
         .join(classes.select("node", "signature"), "node")
         .select("family", "_low", "_high", "_block", "node", "root", "signature", "items")
     )
@@ -254,7 +259,9 @@ def _long_list_links(
                     links.append((ids[i], ids[j]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("family", "_low", "_high").applyInPandas(compare, "a long, b long")
+    links = stored(rows.groupBy("family", "_low", "_high").applyInPandas(compare, "a long, b long"))
+    release(members, family, sets)
+    return links
 
 
 def near_links(documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -265,13 +272,14 @@ def near_links(documents: DataFrame, classes: DataFrame, percent: int) -> DataFr
     # Merged: the postings are many times the rows Spark estimates from the classes.
     met = stored(posted.join(lists.hint("merge"), "key"))
     pairs = met.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(_confirmed(_agreeing(pairs, classes, matches), documents, classes, percent))
+    links = _confirmed(_agreeing(pairs, classes, matches), documents, classes, percent)
     stars = components(links)
     rooted = met.where("n > 2").join(stars, "node", "left").select(
         "key", "n", "first", "node", F.coalesce("root", "node").alias("root")
     )
     open_lists = rooted.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
     rest = stored(rooted.join(open_lists.where("_low <> _high"), "key").drop("_low", "_high"))
+    release(met)
     short = (
         rest.where(f"n <= {SHORT_LIST}")
         .groupBy("key")
@@ -282,13 +290,13 @@ def near_links(documents: DataFrame, classes: DataFrame, percent: int) -> DataFr
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
     )
+    # One after the other: planned as one, some twenty shuffles would begin at once, each with
+    # buffers of megabytes in the driver.
     more = _confirmed(_agreeing(short, classes, matches), documents, classes, percent)
     long = _long_list_links(
         rest.where(f"n > {SHORT_LIST}").select("key", "node", "root"), documents, classes, percent, matches
     )
-    # One after the other: planned as one, some twenty shuffles would begin at once, each with
-    # buffers of megabytes in the driver.
-    more, long = stored(more.select("a", "b")), stored(long.select("a", "b"))
+    release(rest)
     return components(stars.toDF("a", "b").union(more).union(long))
 
 
@@ -312,13 +320,17 @@ def _reached(documents: DataFrame, percent: int) -> DataFrame:
         .groupBy("node", "print")
         .agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
     )
+    # Signatures are the bulk of both tables: each goes as soon as nothing reads it.
+    known = stored(sketched.select("doc_id", "text_key", "n_shingles", "node"))
+    release(sketched)
     roots = near_links(rows, classes, percent)
-    named = classes.join(roots, "node", "left").select(
-        "node", "doc_id", F.coalesce("root", "node").alias("root")
+    named = stored(
+        classes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     )
+    release(classes)
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     reached = named.join(least, "root").select("node", "root", "component_id").distinct()
-    return sketched.join(reached, "node", "left").select(
+    return known.join(reached, "node", "left").select(
         "doc_id", "text_key", "n_shingles", "node", "root", "component_id"
     )
 
