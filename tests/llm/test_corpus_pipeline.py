@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, against what each stage promises for its own input."""
 
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -162,3 +163,22 @@ def test_equal_rows_each_have_their_share(spark):
     settings = {"share": 1.0, "most": 1.0, "block_words": 16, "shard_blocks": 8}
     got = Counter(r["text"] for r in mixing.mixed_documents(frame, **settings).collect())
     assert got == Counter(t for _, t, _ in rows if t)
+
+
+def test_a_stage_takes_the_place_of_the_one_before(spark, folder, monkeypatch):
+    """What a stage kept is deleted when the next one is written; the input stays."""
+    tables, write = [], corpus_pipeline.stored
+
+    def remember(rows):
+        tables.append(write(rows))
+        return tables[-1]
+
+    def shorter(spark, docs, folder):
+        return docs.where("doc_id IS NOT NULL").where(F.col("doc_id") % 7 != len(tables))
+
+    monkeypatch.setattr(corpus_pipeline, "stored", remember)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(n), shorter) for n in range(4)])
+    got = {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()}
+    assert got == {n for n in range(181) if n % 7 > 3}
+    assert [os.path.exists(t._scratch_folder) for t in tables] == [False, False, True]
+    assert spark.read.parquet(f"{folder}/documents.parquet").count() == 183
