@@ -11,7 +11,7 @@ from spendlake.settings import Settings
 from spendlake.sinks import turns
 from spendlake.sinks.tables import Warehouse
 from tests import fixtures as fx
-from verification import storage
+from verification import models, storage
 
 
 def texts(df):
@@ -74,6 +74,21 @@ def test_more_lines_take_more_turns_up_to_a_bound(spark, folder, monkeypatch):
     assert turns.turns_for(spark, path) == turns.MOST_TURNS
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "agg_customer_monthly_spend",
+    ],
+)
+def test_a_query_in_turns_gives_the_same_rows(spark, folder, monkeypatch, name):
+    whole = getattr(models, name)(spark, folder)
+    monkeypatch.setattr(turns, "TURN_BYTES", 1)
+    monkeypatch.setattr(turns, "MOST_TURNS", 2)
+    parts = getattr(models, name)(spark, folder)
+    assert "Exchange" not in parts._jdf.queryExecution().executedPlan().toString()
+    assert parts.dtypes == whole.dtypes and texts(parts) == texts(whole) != []
+
+
 def test_a_pipeline_in_turns_builds_the_same_tables(spark, tmp_path):
     built = ["fct_cloud_usage_daily", "agg_customer_daily_spend"]
     names = {"raw_cloud_usage", "stg_cloud_usage", "raw_customers", "dim_customers", "dim_billing_accounts"}
