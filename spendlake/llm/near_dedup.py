@@ -165,7 +165,8 @@ def _rows(signatures: pa.Array) -> np.ndarray:
 
 def _sets(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, items``: the full shingle sets of some classes, from one document of each."""
-    wanted = classes.select("doc_id", "node").join(nodes, "node", "left_semi")
+    # Stored, as it is read twice: once for the texts to shuffle, once to meet them.
+    wanted = stored(classes.select("doc_id", "node").join(nodes, "node", "left_semi"))
     texts = documents.select(F.col("doc_id").cast("long").alias("_id"), "text")
     # Only the texts wanted are shuffled, and few others.
     texts = maybe_among(texts, F.col("_id"), wanted, F.col("doc_id"))
